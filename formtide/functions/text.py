@@ -179,16 +179,25 @@ def spell_out_ligatures(value: Column | str) -> Column:
     return F.when(text.rlike(f"[{signs}]"), spelled).otherwise(text)
 
 
-@F.pandas_udf(T.StringType())
-def _nfc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda text: unicodedata.normalize("NFC", text), na_action="ignore")
+def _normalizer(form: str, ascii_only: bool = False):
+    """Arrow UDF for Unicode normalisation. Self-contained: executors need no copy of this package."""
+
+    def normalize(text):
+        text = unicodedata.normalize(form, text)
+        return text.encode("ascii", "ignore").decode("ascii") if ascii_only else text
+
+    @F.pandas_udf(T.StringType())
+    def normalize_batch(texts: pd.Series) -> pd.Series:
+        return texts.map(normalize, na_action="ignore")
+
+    return normalize_batch
 
 
 def compose_characters(value: Column | str) -> Column:
     """Unicode composed form (NFC); text that cannot change never leaves the JVM."""
     text = as_column(value)
     open_text = F.when(text.rlike(MAY_COMPOSE), text)
-    return F.coalesce(_nfc(open_text), text)
+    return F.coalesce(_normalizer("NFC")(open_text), text)
 
 
 def fix_text_native(value: Column | str) -> Column:
@@ -231,11 +240,6 @@ def _fold_tables() -> tuple[str, str]:
 FOLD_FROM, FOLD_TO = _fold_tables()
 
 
-@F.pandas_udf(T.StringType())
-def _fold_rest(texts: pd.Series) -> pd.Series:
-    return texts.map(_fold, na_action="ignore")
-
-
 def ascii_fold(value: Column | str) -> Column:
     """Decompose, then drop everything outside ASCII (C17).
 
@@ -243,4 +247,5 @@ def ascii_fold(value: Column | str) -> Column:
     hold something else.
     """
     text = F.translate(as_column(value), FOLD_FROM, FOLD_TO)
-    return F.coalesce(_fold_rest(F.when(text.rlike(r"[^\x{0}-\x{7F}]"), text)), text)
+    rest = F.when(text.rlike(r"[^\x{0}-\x{7F}]"), text)
+    return F.coalesce(_normalizer("NFKD", ascii_only=True)(rest), text)
