@@ -249,3 +249,36 @@ def ascii_fold(value: Column | str) -> Column:
     text = F.translate(as_column(value), FOLD_FROM, FOLD_TO)
     rest = F.when(text.rlike(r"[^\x{0}-\x{7F}]"), text)
     return F.coalesce(_normalizer("NFKD", ascii_only=True)(rest), text)
+
+
+# -- maps of fields ---------------------------------------------------------------------------
+
+
+def _compose_arrays():
+    """Arrow UDF: NFC for every text of an array. Self-contained like the others."""
+
+    def compose(texts):
+        return [None if t is None else unicodedata.normalize("NFC", t) for t in texts]
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def compose_batch(arrays: pd.Series) -> pd.Series:
+        return arrays.map(compose, na_action="ignore")
+
+    return compose_batch
+
+
+def repair_fields(fields: Column | str, compose: bool = True) -> Column:
+    """The text fix and the replacement table on all values of a map (C10, then C9).
+
+    Composition costs one UDF column per record, null unless a value may change.
+    """
+    fixed = F.transform_values(as_column(fields), lambda _, text: fix_text_native(text))
+    if compose:
+        may_change = F.exists(
+            F.map_values(fixed), lambda text: F.coalesce(text.rlike(MAY_COMPOSE), F.lit(False))
+        )
+        composed = _compose_arrays()(F.when(may_change, F.map_values(fixed)))
+        fixed = F.when(
+            composed.isNotNull(), F.map_from_arrays(F.map_keys(fixed), composed)
+        ).otherwise(fixed)
+    return F.transform_values(fixed, lambda _, text: apply_replacements(text))
