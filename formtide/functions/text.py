@@ -9,13 +9,15 @@ from __future__ import annotations
 
 import html.entities
 import unicodedata
+from collections.abc import Callable
+from functools import partial
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from formtide.functions.columns import as_column
+from formtide.functions.columns import as_column, quoted
 from formtide.functions.fixed_values import (
     BLANKS,
     LIGATURES,
@@ -26,11 +28,16 @@ from formtide.functions.fixed_values import (
 )
 
 CASED_RUN = r"([\p{Lt}\p{IsLowercase}\p{IsUppercase}]+|[^\p{Lt}\p{IsLowercase}\p{IsUppercase}]+)"
-# A multi-byte UTF-8 sequence that was read as Latin-1 starts with one of these pairs.
-UTF8_PAIR_AS_LATIN1 = r"[\x{C2}-\x{F4}][\x{80}-\x{BF}]"
+# A multi-byte UTF-8 sequence that was read with a one-byte charset starts with such a pair.
+UTF8_PAIR = r"[\x{{C2}}-\x{{F4}}][\x{{80}}-\x{{BF}}{}]"
 UNDEFINED_WINDOWS_1252 = r"[\x{81}\x{8D}\x{8F}\x{90}\x{9D}]"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), lambda bound: body(bound)), 0)
+
+
 def strip_blanks(value: Column | str) -> Column:
     """Remove blanks of any kind, not only spaces, from both ends."""
     return F.btrim(as_column(value), F.lit(BLANKS))
@@ -68,34 +75,30 @@ def repair_double_encoding(value: Column | str, windows_1252: bool = False) -> C
     and no ``Ã`` is left. With ``windows_1252`` the text was read with that charset instead.
     """
     text = as_column(value)
-    narrow = F.translate(text, WINDOWS_1252_CHARS, WINDOWS_1252_BYTES) if windows_1252 else text
-    suspicious = narrow.rlike(UTF8_PAIR_AS_LATIN1) & ~narrow.rlike("[^\u0000-\u00ff]")
-    decoded = F.when(suspicious, _as_utf8(narrow))
-    return F.when(
-        decoded.isNotNull() & ~F.contains(decoded, F.lit("Ã")), decoded
-    ).otherwise(text)
-
-
-def apply_replacements(
-    value: Column | str, table: list[tuple[str, str]] = MOJIBAKE_REPLACEMENTS
-) -> Column:
-    """Ordered literal replacements (C9), skipped for text that holds none of the keys."""
-    text = as_column(value)
-    roots: list[str] = []
-    for key in sorted({key for key, _ in table}, key=len):
-        if not any(root in key for root in roots):
-            roots.append(key)
-    shared = "√"
-    roots = [root for root in roots if shared not in root] + (
-        [shared] if any(shared in root for root in roots) else []
+    trail = WINDOWS_1252_CHARS if windows_1252 else ""
+    narrow = F.translate(text, trail, WINDOWS_1252_BYTES) if windows_1252 else text
+    suspicious = text.rlike(UTF8_PAIR.format(trail)) & ~text.rlike(f"[^\\x{{0}}-\\x{{FF}}{trail}]")
+    clean = bind(
+        _as_utf8(narrow), lambda decoded: F.when(~F.contains(decoded, F.lit("Ã")), decoded)
+    )
+    return F.coalesce(F.when(suspicious, clean), text)
+
+
+def replace_in_order(text: Column, table: list[tuple[str, str]]) -> Column:
+    """Literal replacements one after the other."""
+    rows = ", ".join(f"struct('{wrong}' AS wrong, '{right}' AS right)" for wrong, right in table)
+    return F.aggregate(
+        F.expr(f"array({rows})"),
+        text,
+        lambda done, row: F.replace(done, row["wrong"], row["right"]),
     )
-    damaged = F.lit(False)
-    for root in roots:
-        damaged = damaged | F.contains(text, F.lit(root))
-    repaired = text
-    for wrong, right in table:
-        repaired = F.replace(repaired, F.lit(wrong), F.lit(right))
-    return F.when(damaged, repaired).otherwise(text)
+
+
+def apply_replacements(value: Column | str) -> Column:
+    """The ordered replacement table (C9), skipped for text that holds none of its keys."""
+    text = as_column(value)
+    damaged = F.contains(text, F.lit("√")) | F.contains(text, F.lit("Nã£o Atende"))
+    return F.when(damaged, replace_in_order(text, MOJIBAKE_REPLACEMENTS)).otherwise(text)
 
 
 def windows_1252_text(latin1: Column | str) -> Column:
@@ -120,13 +123,15 @@ NAMED_ENTITIES = {
     for name, point in html.entities.name2codepoint.items()
     if point < 0x100 or 0x2010 <= point <= 0x2122
 }
+ENTITY_TABLE = "\x01".join(f"{name}\x02{letter}" for name, letter in NAMED_ENTITIES.items())
 ENTITY = "&#?[0-9A-Za-z]{1,24};"
 ENTITY_OR_TEXT = f"({ENTITY}|[^&]+|&)"
 TERMINAL_ESCAPE = r"\x{1B}\[[0-9;]*[a-zA-Z]"
-CONTROL_CHARACTERS = (
-    r"[\x{0}-\x{8}\x{B}\x{E}-\x{1F}\x{7F}"
-    r"\x{206A}-\x{206F}\x{FEFF}\x{FFF9}-\x{FFFC}]"
-)
+CONTROLS = r"\x{0}-\x{8}\x{B}\x{E}-\x{1F}\x{7F}\x{206A}-\x{206F}\x{FEFF}\x{FFF9}-\x{FFFC}"
+BREAKS = r"\r\x{80}-\x{9F}\x{2028}\x{2029}"
+CURLY = "\u02bc\u2018\u2019\u201a\u201b\u201c\u201d\u201e\u201f"
+STRAIGHT = "'" * 5 + '"' * 4
+LIGATURE_SIGNS = "".join(sign for sign, _ in LIGATURES)
 # Everything below U+0300 is its own composed form, and so are common signs and punctuation.
 MAY_COMPOSE = r"[^\x{0}-\x{2FF}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{20A0}-\x{20BF}\x{221A}]"
 FULL_WIDTH = "".join(chr(point) for point in range(0xFF01, 0xFF5F)) + chr(0x3000)
@@ -135,7 +140,7 @@ HALF_WIDTH = "".join(chr(point - 0xFEE0) for point in range(0xFF01, 0xFF5F)) + "
 
 def _entity_text(token: Column) -> Column:
     """Text of one HTML entity; the token itself when it is none we know."""
-    names = F.create_map(*[F.lit(part) for pair in NAMED_ENTITIES.items() for part in pair])
+    names = F.str_to_map(F.lit(ENTITY_TABLE), F.lit("\x01"), F.lit("\x02"))
     digits = F.regexp_extract(token, "^&#([0-9]{1,7});$", 1)
     hexes = F.regexp_extract(token, "^&#[xX]([0-9A-Fa-f]{1,6});$", 1)
     point = F.coalesce(
@@ -144,7 +149,8 @@ def _entity_text(token: Column) -> Column:
     )
     valid = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
     character = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
-    return F.coalesce(F.try_element_at(names, token), F.when(valid, character), token)
+    known = F.coalesce(F.try_element_at(names, token), F.when(valid, character), token)
+    return F.when(F.startswith(token, F.lit("&")), known).otherwise(token)
 
 
 def unescape_entities(value: Column | str) -> Column:
@@ -157,26 +163,25 @@ def unescape_entities(value: Column | str) -> Column:
 
 def straighten_quotes(value: Column | str) -> Column:
     """Curly quotation marks to straight ones (part of C10)."""
-    curly = "\u02bc\u2018\u2019\u201a\u201b\u201c\u201d\u201e\u201f"
-    return F.translate(as_column(value), curly, "'''''\"\"\"\"")
+    return F.translate(as_column(value), CURLY, STRAIGHT)
+
+
+def narrow_letters(value: Column | str) -> Column:
+    """Full-width forms to ASCII (part of C10)."""
+    return F.translate(as_column(value), FULL_WIDTH, HALF_WIDTH)
 
 
 def clean_controls(value: Column | str) -> Column:
     """Line breaks to ``\\n``, stray C1 characters to windows-1252, controls removed."""
     text = F.regexp_replace(as_column(value), TERMINAL_ESCAPE, "")
-    text = F.regexp_replace(text, "\r\n|[\r\u0085\u2028\u2029]", "\n")
+    text = F.regexp_replace(text, r"\r\n|[\r\x{85}\x{2028}\x{2029}]", "\n")
     text = F.translate(text, WINDOWS_1252_BYTES, WINDOWS_1252_CHARS)
-    return F.regexp_replace(text, CONTROL_CHARACTERS, "")
+    return F.regexp_replace(text, f"[{CONTROLS}]", "")
 
 
 def spell_out_ligatures(value: Column | str) -> Column:
     """Ligatures and digraphs to letters (part of C10)."""
-    text = as_column(value)
-    spelled = text
-    for sign, letters in LIGATURES:
-        spelled = F.replace(spelled, F.lit(sign), F.lit(letters))
-    signs = "".join(sign for sign, _ in LIGATURES)
-    return F.when(text.rlike(f"[{signs}]"), spelled).otherwise(text)
+    return replace_in_order(as_column(value), LIGATURES)
 
 
 def _normalizer(form: str, ascii_only: bool = False):
@@ -193,24 +198,47 @@ def _normalizer(form: str, ascii_only: bool = False):
     return normalize_batch
 
 
+def may_compose(text: Column) -> Column:
+    """Whether the composed form of a text can differ; false for ASCII without a scan by regex."""
+    return (F.octet_length(text) != F.length(text)) & text.rlike(MAY_COMPOSE)
+
+
 def compose_characters(value: Column | str) -> Column:
     """Unicode composed form (NFC); text that cannot change never leaves the JVM."""
     text = as_column(value)
-    open_text = F.when(text.rlike(MAY_COMPOSE), text)
-    return F.coalesce(_normalizer("NFC")(open_text), text)
+    return F.coalesce(_normalizer("NFC")(F.when(may_compose(text), text)), text)
+
+
+# What each step of the text fix acts on; text that holds none of it is left alone.
+WIDE = r"\x{FF01}-\x{FF5E}\x{3000}"
+FIX_STEPS = [
+    ("&", unescape_entities),
+    (UTF8_PAIR.format(WINDOWS_1252_CHARS), partial(repair_double_encoding, windows_1252=True)),
+    (f"[{CONTROLS}{BREAKS}]", clean_controls),
+    (f"[{LIGATURE_SIGNS}]", spell_out_ligatures),
+    (f"[{WIDE}]", narrow_letters),
+    (f"[{CURLY}]", straighten_quotes),
+]
+MAY_NEED_FIX = "|".join(trigger for trigger, _ in FIX_STEPS)
 
 
 def fix_text_native(value: Column | str) -> Column:
     """The general text fix without Unicode composition.
 
-    Order: entities, terminal escapes and controls, double encodings, ligatures, full-width
-    forms, quotation marks. Printable ASCII without ``&`` is returned as it is.
+    Order: entities, double encodings, terminal escapes and controls, ligatures, full-width
+    forms, quotation marks. Printable ASCII passes after a quick test, and other text that no
+    step would change after a second one.
     """
     text = as_column(value)
-    fixed = repair_double_encoding(unescape_entities(text), windows_1252=True)
-    fixed = spell_out_ligatures(clean_controls(fixed))
-    fixed = straighten_quotes(F.translate(fixed, FULL_WIDTH, HALF_WIDTH))
-    return F.when(text.rlike("[^\t\n -~]|&"), fixed).otherwise(text)
+    fixed = text
+    for trigger, step in FIX_STEPS:
+        fixed = bind(fixed, partial(_apply_where, trigger, step))
+    needed = text.rlike("[^\t\n -~]|&") & text.rlike(MAY_NEED_FIX)
+    return F.when(needed, fixed).otherwise(text)
+
+
+def _apply_where(trigger: str, step: Callable[[Column], Column], text: Column) -> Column:
+    return F.when(text.rlike(trigger), step(text)).otherwise(text)
 
 
 def fix_text(value: Column | str) -> Column:
@@ -267,18 +295,25 @@ def _compose_arrays():
     return compose_batch
 
 
-def repair_fields(fields: Column | str, compose: bool = True) -> Column:
-    """The text fix and the replacement table on all values of a map (C10, then C9).
+def repair_fields(df: DataFrame, fields: str = "fields", compose: bool = True) -> DataFrame:
+    """The text fix and the replacement table on all values of a map column (C10, then C9).
 
     Composition costs one UDF column per record, null unless a value may change.
     """
-    fixed = F.transform_values(as_column(fields), lambda _, text: fix_text_native(text))
+    others = [quoted(name) for name in df.columns if name != fields]
+    fixed = df.select(
+        *others, F.transform_values(fields, lambda _, text: fix_text_native(text)).alias(fields)
+    )
     if compose:
         may_change = F.exists(
-            F.map_values(fixed), lambda text: F.coalesce(text.rlike(MAY_COMPOSE), F.lit(False))
+            F.map_values(fields), lambda text: F.coalesce(may_compose(text), F.lit(False))
+        )
+        opened = fixed.withColumn("_open", F.when(may_change, F.map_values(fields)))
+        composed = opened.withColumn("_composed", _compose_arrays()("_open"))
+        whole = F.map_from_arrays(F.map_keys(fields), F.col("_composed"))
+        fixed = composed.select(
+            *others,
+            F.when(F.col("_composed").isNotNull(), whole).otherwise(F.col(fields)).alias(fields),
         )
-        composed = _compose_arrays()(F.when(may_change, F.map_values(fixed)))
-        fixed = F.when(
-            composed.isNotNull(), F.map_from_arrays(F.map_keys(fixed), composed)
-        ).otherwise(fixed)
-    return F.transform_values(fixed, lambda _, text: apply_replacements(text))
+    repaired = F.transform_values(fields, lambda _, text: apply_replacements(text))
+    return fixed.select(*others, repaired.alias(fields))

@@ -30,6 +30,9 @@ DEEP_LEAF = T.StructType(
 )
 
 
+# A non-empty list; an object has no first position.
+IS_FILLED_LIST = "try_variant_get(_node, '$[0]', 'variant') IS NOT NULL"
+
 WIDE_INTEGER = r"^DECIMAL\((19|[23][0-9]),0\)$"
 
 
@@ -127,32 +130,31 @@ def flatten_json(
     """
     levels = NATIVE_LEVELS if depth is None else depth
     keep = [quoted(name) for name in df.columns if name != source]
-    current = df.select(
+    start = df.select(
         *keep,
         F.lit(parent).alias("path"),
         _as_variant(df, source).alias("_node"),
         F.lit(0).alias("level"),
         F.lit(False).alias("in_list"),
     )
-    node, path = F.col("_node"), F.col("path")
+    # only objects are opened if lists are to stay cells
+    opened = "_node" if explode_arrays else f"if({IS_FILLED_LIST}, null, _node)"
+    others = "".join(f"{name}, " for name in keep)
+    unfolded = "{start}"
     for _ in range(levels):
-        # only objects are opened if lists are to stay cells
-        is_list = F.try_variant_get(node, "$[0]", "variant").isNotNull()
-        opened = node if explode_arrays else F.when(~is_list, node)
-        current = current.withColumn("_open", opened)
-        step = current.sparkSession.tvf.variant_explode_outer(F.col("_open").outer())
-        position, key, child = F.col("_position"), F.col("_key"), F.col("_child")
-        stayed = position.isNull()
-        current = current.lateralJoin(step.toDF("_position", "_key", "_child")).select(
-            *keep,
-            F.when(stayed, path)
-            .when(key.isNotNull() & (path == ""), key)
-            .otherwise(F.concat(path, F.lit(sep), F.coalesce(key, position.cast("string"))))
-            .alias("path"),
-            F.when(stayed, node).otherwise(child).alias("_node"),
-            F.when(stayed, F.col("level")).otherwise(F.col("level") + 1).alias("level"),
-            F.when(stayed, F.col("in_list")).otherwise(key.isNull()).alias("in_list"),
-        )
+        unfolded = f"""(
+            SELECT {others}
+                CASE WHEN pos IS NULL THEN path
+                     WHEN key IS NOT NULL AND path = '' THEN key
+                     ELSE concat(path, :sep, coalesce(key, cast(pos AS string))) END AS path,
+                if(pos IS NULL, _node, value) AS _node,
+                if(pos IS NULL, level, level + 1) AS level,
+                if(pos IS NULL, in_list, key IS NULL) AS in_list
+            FROM (SELECT *, {opened} AS _open FROM {unfolded}),
+                LATERAL variant_explode_outer(_open) AS _step(pos, key, value)
+        )"""
+    current = df.sparkSession.sql(f"SELECT * FROM {unfolded}", args={"sep": sep}, start=start)
+    node, path = F.col("_node"), F.col("path")
     kind = kind_of(node)
     containers = ["dict", "list"] if explode_arrays else ["dict"]
     current = current.withColumn("kind", kind)

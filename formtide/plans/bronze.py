@@ -42,7 +42,7 @@ def bronze_table(
     by_name: dict[str, list[str]] = {}
     for key in keys:
         by_name.setdefault(key.replace(".", "_"), []).append(key)
-    repaired = fields.select(repair_fields("fields", compose).alias("fields"))
+    repaired = repair_fields(fields.select("fields"), compose=compose)
     cells = [
         F.coalesce(*[F.col("fields").getItem(key) for key in same]).alias(name)
         for name, same in by_name.items()

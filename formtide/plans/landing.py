@@ -31,7 +31,8 @@ def landing_fields(
     )
     leaves = flatten_json(numbered, "element", depth=depth)
     records = gather_fields(leaves, ["form", "_record"])
-    return records.select("form", (repair_fields("fields") if repair else F.col("fields")).alias("fields"))
+    records = records.select("form", "fields")
+    return repair_fields(records) if repair else records
 
 
 def landing_records(

@@ -34,9 +34,7 @@ def append_bronze(
     spark: SparkSession, landing_prefix: str, bronze_path: str, checkpoint: str
 ) -> StreamingQuery:
     """Process the files that are new since the last run, then stop."""
-    repaired = landing_stream(spark, landing_prefix).select(
-        "form", repair_fields("fields").alias("fields")
-    )
+    repaired = repair_fields(landing_stream(spark, landing_prefix))
     return (
         with_processing_time(repaired)
         .writeStream.format("parquet")
