@@ -18,7 +18,7 @@ KNOWN_DEPTH = 6
 
 def bronze_of(t, form: str):
     """Bronze table of a form: raw submissions flattened, repaired, as columns."""
-    fields = landing.landing_fields(subs.submissions(t, form), depth=KNOWN_DEPTH)
+    fields = landing.landing_fields(subs.submissions(t, form), depth=KNOWN_DEPTH, repair=False)
     keys = [source for source, _, _ in FORM_SPECS[form].columns if source in subs.PATH_OF]
     moment = F.lit(subs.PROCESSED_AT).cast("timestamp")
     return bronze.bronze_table(fields.select("fields"), list(dict.fromkeys(keys)), moment)
