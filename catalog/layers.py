@@ -13,7 +13,7 @@ from formtide.plans import bronze, gold, landing, media_links, photo_worklist, r
 from formtide.plans.form_specs import FORM_SPECS
 from formtide.sources.objects import media_objects
 
-KNOWN_DEPTH = 6
+KNOWN_DEPTH = 4
 
 
 def bronze_of(t, form: str):
@@ -28,6 +28,17 @@ def silver_of(t, form: str):
     return silver.route_table(bronze_of(t, form), f"{form}.csv")
 
 
+def gold_of(t, form: str):
+    """Gold table of a form from a clean bronze table that is computed, not flattened."""
+    sources = [source for source, _, _ in FORM_SPECS[form].columns if source in subs.PATH_OF]
+    cells = [
+        F.expr(subs.value_sql(subs.PATH_OF[source])).cast("string").alias(source)
+        for source in dict.fromkeys(sources)
+    ]
+    table = subs.orders_of_customers(t).select(*cells)
+    return gold.gold_table(silver.silver_table(table, FORM_SPECS[form], repair=False))
+
+
 def register_form(form: str) -> None:
     @query(subs.silver_sql(form), name=f"silver_{form}")
     def silver_form(t):
@@ -163,7 +174,7 @@ def link_sql(kind: str, extension: str, id_name: str, references: str) -> str:
     )
 )
 def media_links_images(t):
-    tables = {form: gold.gold_table(silver_of(t, form)) for form in ("ilum", "irsf")}
+    tables = {form: gold_of(t, form) for form in ("ilum", "irsf")}
     references = media_links.media_references(tables, "images")
     links = media_links.object_links(media_listing(t, "images", "jpg"), BUCKET, "media")
     return media_links.media_links(references, links, "images")

@@ -77,7 +77,7 @@ def repair_double_encoding(value: Column | str, windows_1252: bool = False) -> C
     text = as_column(value)
     trail = WINDOWS_1252_CHARS if windows_1252 else ""
     narrow = F.translate(text, trail, WINDOWS_1252_BYTES) if windows_1252 else text
-    suspicious = text.rlike(UTF8_PAIR.format(trail)) & ~text.rlike(f"[^\\x{{0}}-\\x{{FF}}{trail}]")
+    suspicious = text.rlike(UTF8_PAIR.format(trail)) & ~narrow.rlike(r"[\x{100}-\x{10FFFF}]")
     clean = bind(
         _as_utf8(narrow), lambda decoded: F.when(~F.contains(decoded, F.lit("Ã")), decoded)
     )
@@ -131,9 +131,12 @@ CONTROLS = r"\x{0}-\x{8}\x{B}\x{E}-\x{1F}\x{7F}\x{206A}-\x{206F}\x{FEFF}\x{FFF9}
 BREAKS = r"\r\x{80}-\x{9F}\x{2028}\x{2029}"
 CURLY = "\u02bc\u2018\u2019\u201a\u201b\u201c\u201d\u201e\u201f"
 STRAIGHT = "'" * 5 + '"' * 4
-LIGATURE_SIGNS = "".join(sign for sign, _ in LIGATURES)
+LIGATURE_RANGES = r"\x{132}\x{133}\x{149}\x{1C4}-\x{1CC}\x{1F1}-\x{1F3}\x{FB00}-\x{FB06}"
 # Everything below U+0300 is its own composed form, and so are common signs and punctuation.
-MAY_COMPOSE = r"[^\x{0}-\x{2FF}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{20A0}-\x{20BF}\x{221A}]"
+MAY_COMPOSE = (
+    r"[\x{300}-\x{200F}\x{2028}-\x{202F}\x{205F}-\x{209F}"
+    r"\x{20C0}-\x{2219}\x{221B}-\x{10FFFF}]"
+)
 FULL_WIDTH = "".join(chr(point) for point in range(0xFF01, 0xFF5F)) + chr(0x3000)
 HALF_WIDTH = "".join(chr(point - 0xFEE0) for point in range(0xFF01, 0xFF5F)) + " "
 
@@ -209,41 +212,43 @@ def compose_characters(value: Column | str) -> Column:
     return F.coalesce(_normalizer("NFC")(F.when(may_compose(text), text)), text)
 
 
-# What each step of the text fix acts on; text that holds none of it is left alone.
+# What each step of the text fix acts on.
 WIDE = r"\x{FF01}-\x{FF5E}\x{3000}"
 FIX_STEPS = [
     ("&", unescape_entities),
     (UTF8_PAIR.format(WINDOWS_1252_CHARS), partial(repair_double_encoding, windows_1252=True)),
     (f"[{CONTROLS}{BREAKS}]", clean_controls),
-    (f"[{LIGATURE_SIGNS}]", spell_out_ligatures),
+    (f"[{LIGATURE_RANGES}]", spell_out_ligatures),
     (f"[{WIDE}]", narrow_letters),
-    (f"[{CURLY}]", straighten_quotes),
+    (r"[\x{2BC}\x{2018}-\x{201F}]", straighten_quotes),
 ]
-MAY_NEED_FIX = "|".join(trigger for trigger, _ in FIX_STEPS)
+# Printable ASCII without & and the Latin-1 letters: no step acts on a text of these alone, for
+# a damaged pair ends in a character outside of them.
+MAY_NEED_FIX = r"[\x{0}-\x{8}\x{B}-\x{1F}&\x{7F}-\x{BF}\x{100}-\x{10FFFF}]"
 
 
-def fix_text_native(value: Column | str) -> Column:
+def fix_text_native(value: Column | str, decode_first: bool = False) -> Column:
     """The general text fix without Unicode composition.
 
     Order: entities, double encodings, terminal escapes and controls, ligatures, full-width
-    forms, quotation marks. Printable ASCII passes after a quick test, and other text that no
-    step would change after a second one.
+    forms, quotation marks; with ``decode_first`` a Latin-1 double encoding is undone before
+    (C8, then C10). Plain Latin text passes after one test.
     """
     text = as_column(value)
+    first = [(UTF8_PAIR.format(""), repair_double_encoding)] if decode_first else []
     fixed = text
-    for trigger, step in FIX_STEPS:
+    for trigger, step in first + FIX_STEPS:
         fixed = bind(fixed, partial(_apply_where, trigger, step))
-    needed = text.rlike("[^\t\n -~]|&") & text.rlike(MAY_NEED_FIX)
-    return F.when(needed, fixed).otherwise(text)
+    return F.when(text.rlike(MAY_NEED_FIX), fixed).otherwise(text)
 
 
 def _apply_where(trigger: str, step: Callable[[Column], Column], text: Column) -> Column:
     return F.when(text.rlike(trigger), step(text)).otherwise(text)
 
 
-def fix_text(value: Column | str) -> Column:
+def fix_text(value: Column | str, decode_first: bool = False) -> Column:
     """The general text fix with composed characters (C10): a documented subset of steps."""
-    return compose_characters(fix_text_native(value))
+    return compose_characters(fix_text_native(value, decode_first))
 
 
 # -- ASCII folding ----------------------------------------------------------------------------
@@ -275,7 +280,7 @@ def ascii_fold(value: Column | str) -> Column:
     hold something else.
     """
     text = F.translate(as_column(value), FOLD_FROM, FOLD_TO)
-    rest = F.when(text.rlike(r"[^\x{0}-\x{7F}]"), text)
+    rest = F.when(text.rlike(r"[\x{80}-\x{10FFFF}]"), text)
     return F.coalesce(_normalizer("NFKD", ascii_only=True)(rest), text)
 
 

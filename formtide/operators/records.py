@@ -30,6 +30,7 @@ DEEP_LEAF = T.StructType(
 )
 
 
+JSON_KEY = r'"(?:[^"\\]++|\\.)*+":'
 # A non-empty list; an object has no first position.
 IS_FILLED_LIST = "try_variant_get(_node, '$[0]', 'variant') IS NOT NULL"
 
@@ -223,10 +224,11 @@ def find_by_prefix(
 
 
 def parse_or_skip(df: DataFrame, source: str) -> DataFrame:
-    """Rows whose text is a JSON object or list with at least one entry."""
-    first = F.schema_of_variant(parse_json(source))
-    useful = first.rlike("^(OBJECT|ARRAY)<") & ~first.isin("OBJECT<>", "ARRAY<>")
-    return df.filter(useful)
+    """Rows whose text is a JSON object or list with at least one leaf."""
+    text = F.to_json(_as_variant(df, source))
+    # without its keys, a record that holds any scalar has more than brackets and commas
+    values = F.regexp_replace(text, JSON_KEY, "")
+    return df.filter(text.rlike(r"^[\[{]") & values.rlike("[\"0-9a-z]"))
 
 
 def distinct_paths(leaves: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from formtide.functions.columns import quoted
 
@@ -66,6 +67,14 @@ def path_collisions(leaves: DataFrame, by: list[str]) -> DataFrame:
 
 
 def fields_to_columns(df: DataFrame, fields: str, keys: list[str]) -> DataFrame:
-    """A map column as one column per key, null where a record lacks it; row-local."""
+    """A map column as one column per key, null where a record lacks it; row-local.
+
+    A map is searched from its start for every key. One pass through JSON with the wanted
+    schema finds all keys at once, whatever their number.
+    """
     others = [quoted(name) for name in df.columns if name != fields]
-    return df.select(*others, *[F.col(fields).getItem(key).alias(key) for key in keys])
+    schema = T.StructType([T.StructField(key, T.StringType()) for key in keys])
+    text = F.to_json(fields, {"ignoreNullFields": "false"})
+    return df.select(*others, F.from_json(text, schema).alias("_row")).select(
+        *others, *[F.col("_row")[key].alias(key) for key in keys]
+    )

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formtide.functions.columns import as_column
 from formtide.functions.fixed_values import FORMS
 from formtide.functions.paths import layer_path
 from formtide.functions.text import repair_fields
 from formtide.operators.profile import counted
 from formtide.operators.project import with_processing_time
 from formtide.operators.records import normalize_json, sorted_keys, top_level_fields
-from formtide.operators.reshape import gather_fields
+from formtide.operators.reshape import fields_to_columns, gather_fields
 from formtide.plans.report import Skipped, run_each
 from formtide.sources.pipe_csv import write_pipe_csv
 from formtide.sources.submissions import read_submissions
@@ -39,15 +40,15 @@ def bronze_table(
 ) -> DataFrame:
     """Maps of fields to columns: union of keys, text repaired, processing time added."""
     keys = sorted_keys(fields, "fields") if keys is None else keys
+    repaired = repair_fields(fields.select("fields"), compose=compose)
+    cells = fields_to_columns(repaired, "fields", keys)
     by_name: dict[str, list[str]] = {}
     for key in keys:
         by_name.setdefault(key.replace(".", "_"), []).append(key)
-    repaired = repair_fields(fields.select("fields"), compose=compose)
-    cells = [
-        F.coalesce(*[F.col("fields").getItem(key) for key in same]).alias(name)
-        for name, same in by_name.items()
-    ]
-    return with_processing_time(repaired.select(*cells), moment)
+    table = cells.select(
+        *[F.coalesce(*map(as_column, same)).alias(name) for name, same in by_name.items()]
+    )
+    return with_processing_time(table, moment)
 
 
 def run_bronze(

@@ -50,20 +50,17 @@ def silver_table(bronze: DataFrame, spec: FormSpec, repair: bool = True) -> Data
     # text columns go through repair as one array, so the plan holds its expressions once
     textual = [source for source, _, cast in entries if cast in TEXTUAL]
     others = [source for source, _, cast in entries if cast not in TEXTUAL]
-    texts = F.array(*[as_column(source).cast("string") for source in textual])
+    texts = F.array(*[text.missing_to_null(as_column(source).cast("string")) for source in textual])
     packed = bronze.select(*map(as_column, others), texts.alias("_texts"))
-    repaired = packed.withColumn("_texts", F.transform("_texts", _repaired if repair else text.missing_to_null))
+    if repair:
+        fixed = F.transform("_texts", lambda value: text.fix_text_native(value, decode_first=True))
+        packed = packed.withColumn("_texts", fixed)
 
     def cell(source: str, target: str, cast: str) -> Column:
         value = F.col("_texts")[textual.index(source)] if cast in TEXTUAL else as_column(source)
         return CASTS[cast](value).alias(target)
 
-    return repaired.select(*[cell(*entry) for entry in entries])
-
-
-def _repaired(value: Column) -> Column:
-    present = text.missing_to_null(value)
-    return text.bind(text.bind(present, text.repair_double_encoding), text.fix_text_native)
+    return packed.select(*[cell(*entry) for entry in entries])
 
 
 def route_table(bronze: DataFrame, name: str) -> DataFrame | None:

@@ -13,7 +13,7 @@ def list_objects(
 ) -> DataFrame:
     """Objects below a prefix: ``path, modificationTime, length``.
 
-    Listing is Spark's own, so it is complete and parallel; content is never read.
+    Listing is Spark's own: complete, parallel, and without empty objects. Content is not read.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     listing = reader.load(prefix).select("path", "modificationTime", "length")

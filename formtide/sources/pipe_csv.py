@@ -10,7 +10,6 @@ from formtide.functions.columns import quoted
 from formtide.functions.text import (
     fix_text,
     missing_to_null,
-    repair_double_encoding,
     windows_1252_text,
 )
 
@@ -36,7 +35,7 @@ def read_pipe_csv(
     def cell(name: str):
         text = F.col(quoted(name))
         text = missing_to_null(windows_1252_text(text) if latin else text)
-        return (fix_text(repair_double_encoding(text)) if repair else text).alias(name)
+        return (fix_text(text, decode_first=True) if repair else text).alias(name)
 
     return table.select(*[cell(name) for name in table.columns])
 
@@ -46,20 +45,21 @@ def write_pipe_csv(df: DataFrame, path: str, quoting: bool = True) -> None:
 
     Without quoting, separators and backslashes inside values are escaped with a backslash.
     """
-    if not quoting:
-        special = F.lit(r"([\\|\n\r])")
-        df = df.select(
-            *[
-                F.regexp_replace(F.col(quoted(name)).cast("string"), special, F.lit(r"\\$1")).alias(name)
-                for name in df.columns
-            ]
-        )
-    options = {"sep": "|", "header": True, "nullValue": "", "emptyValue": ""}
     if quoting:
-        options |= {"quote": '"', "escape": '"'}
-    else:
-        options |= {"quote": "\u0000", "escape": "\u0000", "escapeQuotes": False}
-    df.write.mode("overwrite").options(**options).csv(path)
+        options = {"sep": "|", "header": True, "quote": '"', "escape": '"', "emptyValue": ""}
+        df.write.mode("overwrite").options(**options).csv(path)
+        return
+    special = F.lit(r"([\\|\n\r])")
+
+    def cell(name: str):
+        text = F.regexp_replace(F.col(quoted(name)).cast("string"), special, F.lit(r"\\$1"))
+        return F.coalesce(text, F.lit(""))
+
+    line = F.concat_ws("|", *map(cell, df.columns)).alias("|".join(df.columns))
+    # one text column named like the header: the writer puts that name on top of every file
+    options = {"sep": "\x01", "header": True, "quote": "", "escapeQuotes": False, "emptyValue": ""}
+    options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.select(line).write.mode("overwrite").options(**options).csv(path)
 
 
 def read_silver_export(
@@ -79,5 +79,7 @@ def read_silver_export(
     ).schema(StructType([*fields, StructField(CORRUPT, StringType())]))
     unquoted = F.regexp_replace(CORRUPT, '"(?:[^"]|"")*+"', "")
     separators = F.length(unquoted) - F.length(F.replace(unquoted, F.lit("|"), F.lit("")))
+    # mentioning a field keeps the check valid when a query needs no column but the check's own
+    anchor = F.coalesce(F.length(F.col(quoted(fields[0].name)).cast("string")), F.lit(0)) >= 0
     fits = F.col(CORRUPT).isNull() | (separators < len(fields))
-    return checked.csv(path).filter(fits).drop(CORRUPT)
+    return checked.csv(path).filter(fits & anchor).drop(CORRUPT)
