@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from formtide.functions.columns import as_column
 from formtide.functions.fixed_values import FOLDER_MIME, ROUTE_ORDER
+from formtide.functions.text import strip_blanks
 
 
 
@@ -69,6 +70,6 @@ def route_name(name: str) -> str | None:
 
 def route_column(name: Column | str) -> Column:
     """:func:`route_name` for a column of names."""
-    plain = F.lower(F.trim(as_column(name)))
+    plain = strip_blanks(F.lower(as_column(name)))
     hits = [F.when(F.contains(plain, F.lit(form)), form) for form in ROUTE_ORDER]
     return F.coalesce(*hits)

@@ -69,7 +69,9 @@ def list_files_deep(entries: DataFrame, root: str) -> DataFrame:
 def list_tree(entries: DataFrame, root: str) -> DataFrame:
     """The hierarchy in rows: every folder with each of its files, empty folders too.
 
-    One row per folder and file, so no folder is gathered into one value.
+    One row per folder and file, so no folder is gathered into one value. Files meet their
+    folder in an inner join, whose skewed side adaptive execution can split; an outer join
+    would pin a folder that holds most files to one task. Empty folders are added after it.
     """
     files = _files(entries).select(
         "folder_id",
@@ -77,7 +79,11 @@ def list_tree(entries: DataFrame, root: str) -> DataFrame:
         F.col("name").alias("file_name"),
         "mimeType",
     )
-    return folder_paths(entries, root).join(files, "folder_id", "left")
+    folders = folder_paths(entries, root)
+    filled = files.join(folders, "folder_id")
+    empty = folders.join(files.select("folder_id").distinct(), "folder_id", "left_anti")
+    columns = ["folder_id", "path", "file_id", "file_name", "mimeType"]
+    return filled.select(*columns).unionByName(empty, allowMissingColumns=True)
 
 
 def resolve_path(entries: DataFrame, root: str, path: str) -> DataFrame:

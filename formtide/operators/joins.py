@@ -1,7 +1,9 @@
 """Joins of media references with object listings.
 
-No side is hinted: both grow with the data. Spark broadcasts a side it can prove small and
-splits skewed partitions of a sort-merge join (adaptive execution).
+No side is hinted: both grow with the data. Spark broadcasts a side it can prove small, and
+adaptive execution splits a skewed partition on any side whose rows need not be seen together:
+both sides of an inner join, the left side of the others. The right side of semi and anti joins
+is therefore reduced to distinct keys first, which combines before the shuffle.
 """
 
 from __future__ import annotations
@@ -17,10 +19,6 @@ def link_media(media: DataFrame, links: DataFrame, on: list[str] = FILE_KEY) ->
     return media.join(links, on, "inner")
 
 
-def _distinct_references(references: DataFrame, on: list[str]) -> DataFrame:
-    return references.dropDuplicates(on)
-
-
 def missing_references(
     references: DataFrame, existing: DataFrame, on: list[str] = FILE_KEY
 ) -> DataFrame:
@@ -29,14 +27,14 @@ def missing_references(
     Deduplication combines before the shuffle, so an id that fills a third of the input
     reaches the join as one row.
     """
-    return _distinct_references(references, on).join(existing.select(*on), on, "left_anti")
+    return references.dropDuplicates(on).join(existing.select(*on).distinct(), on, "left_anti")
 
 
 def present_references(
     references: DataFrame, existing: DataFrame, on: list[str] = FILE_KEY
 ) -> DataFrame:
-    """References that have an object (K3)."""
-    return references.join(existing.select(*on), on, "left_semi")
+    """References that have an object, repeated ones included (K3)."""
+    return references.join(existing.select(*on).distinct(), on, "left_semi")
 
 
 def bounded_side(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
