@@ -144,7 +144,7 @@ def media_listing(t, kind: str, extension: str):
     path = F.expr(
         f"concat('s3a://{BUCKET}/media/{kind}/', {LINEITEM_FORM}, '/', l_orderkey, '-', l_linenumber, '.{extension}')"
     )
-    return media_objects(t.lineitem.select(path.alias("path")), kind)
+    return media_objects(t.spread("lineitem").select(path.alias("path")), kind)
 
 
 def link_sql(kind: str, extension: str, id_name: str, references: str) -> str:

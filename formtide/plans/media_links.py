@@ -52,7 +52,7 @@ def object_links(objects: DataFrame, bucket: str, key_prefix: str = "") -> DataF
     prefix = f"{key_prefix.strip('/')}/" if key_prefix.strip("/") else ""
     return objects.select(
         "form",
-        strip_extension("file_name").alias("file_id"),
+        F.coalesce(strip_extension("file_name"), F.lit("")).alias("file_id"),
         public_url(bucket, F.concat(F.lit(prefix), "key")).alias("url"),
     )
 

@@ -27,16 +27,19 @@ def media_objects(listing: DataFrame, kind: str, forms: list[str] | None = None)
 
     ``file_name`` is everything after the form; ``key`` starts at the kind.
     """
-    parts = F.regexp_extract("path", f"(?:^|/)({kind}/([^/]+)/(.+))$", 2)
-    named = listing.select(
-        parts.alias("form"),
-        F.regexp_extract("path", f"(?:^|/)({kind}/([^/]+)/(.+))$", 3).alias("file_name"),
-        F.regexp_extract("path", f"(?:^|/)({kind}/([^/]+)/(.+))$", 1).alias("key"),
+    # The only filter is one test of the path: a filter on a derived column would be pushed to
+    # the scan with the whole derivation copied into it. Never-null columns keep a join on them
+    # from adding such filters.
+    media = listing.filter(F.col("path").rlike(f"(?:^|/){kind}/[^/]+/."))
+    keys = media.select(F.regexp_extract("path", f"(?:^|/)({kind}/[^/]+/.+)$", 1).alias("key"))
+    form = F.coalesce(F.split_part("key", F.lit("/"), F.lit(2)), F.lit(""))
+    start = F.length(form) + F.lit(len(kind) + 3)
+    named = keys.select(
+        form.alias("form"),
+        F.coalesce(F.col("key").substr(start, F.length("key")), F.lit("")).alias("file_name"),
+        F.coalesce("key", F.lit("")).alias("key"),
     )
-    wanted = F.col("form") != ""
-    if forms is not None:
-        wanted = wanted & F.col("form").isin(forms)
-    return named.filter(wanted)
+    return named if forms is None else named.filter(F.col("form").isin(forms))
 
 
 def read_binary(spark: SparkSession, path: str, charset: str | None = "UTF-8") -> DataFrame:
