@@ -31,75 +31,114 @@ BORDER = re.compile(r"(?<=\S) (?=\S)")
 GROUP = 16
 
 
+DOUBLE_SPACE = re.compile(r"\s\s")
+
+
+def chunks(text: str) -> list[str]:
+    """A text cut at the spaces between two non-spaces, without those spaces."""
+    if text[0].isspace() or text[-1].isspace() or DOUBLE_SPACE.search(text):
+        return BORDER.split(text)
+    return text.split(" ")
+
+
+class Codes(dict):
+    """Numbers its keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = code = len(self)
+        return code
+
+
 class ChunkEncoder:
-    """Ids of texts by a byte-level tokenizer, each distinct chunk of a block encoded once.
+    """Ids of texts by a byte-level tokenizer, each distinct chunk encoded once per worker.
 
     Texts are cut where a token border is certain, and the distinct chunks of a block go through the
-    tokenizer as one text; the bytes that each id stands for tell where a chunk ends.
+    tokenizer as one text; the bytes that each id stands for tell where a chunk ends. Chunks are kept
+    up to ``most`` of them; then the worker begins anew.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = 1_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.width[i] = len(token)  # one character stands for one byte
         for i, token in self.tokenizer.get_added_tokens_decoder().items():
             self.width[i] = len(token.content.encode())
+        self.reset()
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the number of ids of each text."""
-        known: dict[str, int] = {}
-        number = known.setdefault
-        codes: list[int] = []
-        sizes = np.zeros(len(texts), np.int64)
-        for row, text in enumerate(texts):
-            if not text:
-                continue
-            first, *rest = BORDER.split(text)
-            codes.append(number(first, len(known)))
-            codes += [number(" " + chunk, len(known)) for chunk in rest]
-            sizes[row] = 1 + len(rest)
-        if not codes:
-            return np.zeros(0, np.uint32), sizes
-        # a text's first chunk has no space before it: it is encoded alone
-        joined, alone = [], []
-        for chunk, code in known.items():
-            (joined if chunk.startswith(" ") and BORDER.match("x" + chunk + "x", 1) else alone).append((chunk, code))
-        counts = np.zeros(len(known), np.int64)
-        pieces, order = [], []
-        for i in range(0, len(joined), 512):
-            group = joined[i : i + 512]
-            text = "".join(chunk for chunk, _ in group)
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def reset(self) -> None:
+        self.known = Codes()
+        self.counts, self.begin = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def learn(self) -> None:
+        """Encode the chunks that were numbered since the last call; all begin with a space."""
+        news = list(self.known)[len(self.counts) :]
+        counts, pieces, order, alone = np.zeros(len(news), np.int64), [], [], []
+        for i in range(0, len(news), 512):
+            own = np.arange(i, min(i + 512, len(news)))
+            group = [" " + chunk for chunk in news[i : i + 512]]
+            ids = np.array(self.tokenizer.encode("".join(group), add_special_tokens=False).ids, np.uint32)
             ends = np.cumsum(self.width[ids])
-            borders = np.cumsum([len(chunk.encode()) for chunk, _ in group])
-            cuts = np.searchsorted(ends, borders)
-            if ends[-1] != borders[-1] or (ends[cuts] != borders).any():
-                alone += group
+            borders = np.cumsum([len(chunk.encode()) for chunk in group])
+            cuts = np.minimum(np.searchsorted(ends, borders), len(ends) - 1)
+            irregular = any(chunk[1:2].isspace() or chunk[-1].isspace() for chunk in group)
+            if irregular or ends[-1] != borders[-1] or (ends[cuts] != borders).any():
+                alone += own.tolist()
                 continue
-            own = np.array([code for _, code in group])
             counts[own] = np.diff(np.concatenate(([0], cuts + 1)))
             pieces.append(ids)
             order.append(own)
         for i in range(0, len(alone), 4096):
             group = alone[i : i + 4096]
-            for (_, code), found in zip(
-                group, self.tokenizer.encode_batch([chunk for chunk, _ in group], add_special_tokens=False)
-            ):
-                counts[code] = len(found.ids)
+            texts = [" " + news[j] for j in group]
+            for j, found in zip(group, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+                counts[j] = len(found.ids)
                 pieces.append(np.array(found.ids, np.uint32))
-                order.append(np.array([code]))
-        found, order = np.concatenate(pieces), np.concatenate(order)
-        begin = np.zeros(len(known), np.int64)
-        begin[order] = np.cumsum(counts[order]) - counts[order]
+                order.append(np.array([j]))
+        if news:
+            order = np.concatenate(order)
+            begin = np.zeros(len(news), np.int64)
+            begin[order] = len(self.ids) + np.cumsum(counts[order]) - counts[order]
+            self.begin, self.counts = np.append(self.begin, begin), np.append(self.counts, counts)
+            self.ids = np.concatenate([self.ids, *pieces])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and the number of ids of each text."""
+        if len(self.known) > self.most:
+            self.reset()
+        codes: list[int] = []
+        firsts: list[str] = []
+        number = self.known.__getitem__
+        sizes = np.zeros(len(texts), np.int64)
+        for row, text in enumerate(texts):
+            if text:
+                first, *rest = chunks(text)
+                firsts.append(first)
+                codes.append(-len(firsts))
+                codes.extend(map(number, rest))
+                sizes[row] = 1 + len(rest)
+        if not codes:
+            return np.zeros(0, np.uint32), sizes
+        self.learn()
+        # a text's first chunk has no space before it: it is encoded for itself
+        own = [
+            np.array(found.ids, np.uint32)
+            for found in self.tokenizer.encode_batch(firsts, add_special_tokens=False)
+        ]
+        own_counts = np.array([len(ids) for ids in own], np.int64)
+        ids = np.concatenate([self.ids, *own])
+        begin = np.append(self.begin, len(self.ids) + np.cumsum(own_counts) - own_counts)
+        counts = np.append(self.counts, own_counts)
         codes = np.array(codes)
-        ids = found[np.repeat(begin[codes], counts[codes]) + spans(counts[codes])]
+        codes = np.where(codes < 0, len(self.counts) - 1 - codes, codes)
+        ids = ids[np.repeat(begin[codes], counts[codes]) + spans(counts[codes])]
         chunk_ends = np.concatenate(([0], np.cumsum(counts[codes])))
         text_ends = np.concatenate(([0], np.cumsum(sizes)))
         return ids, np.diff(chunk_ends[text_ends])
