@@ -27,3 +27,23 @@ def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = read_table(spark, sf_dir, "documents")
     return pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op2_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formtide.llm.toxicity import learn_toxicity, score_toxicity
+
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return score_toxicity(docs, learn_toxicity(docs, labels))
+
+
+@query
+def op5_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from formtide.llm.quality import learn_quality, remainder, score_quality
+
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    scores = score_quality(docs, learn_quality(docs, labels, held))
+    return scores.select("doc_id", held.alias("held_out"), "score", "predicted")
