@@ -47,3 +47,36 @@ def op5_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
     scores = score_quality(docs, learn_quality(docs, labels, held))
     return scores.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formtide.llm.neighbours import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_pivot_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formtide.llm.neighbours import top_k
+
+    return top_k(read_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
+ORACLES["op8_pivot_distances"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+           CAST(list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), r AS (
+    SELECT query_id, vec_id, score,
+           CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
