@@ -80,3 +80,17 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@query
+def op9_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formtide.llm.cover_dedup import remove_repeats
+
+    return remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formtide.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(read_table(spark, sf_dir, "documents"))
