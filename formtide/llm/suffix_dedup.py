@@ -113,18 +113,26 @@ class Family:
             level = self.sort(*(np.concatenate(x) for x in zip(self.levels.pop(), level)))
         self.levels.append(level)
 
-    def scan(self, key, whole, docs) -> tuple[np.ndarray, np.ndarray]:
-        """Of a batch: is the suffix in a smaller document; do others share its first bytes only?"""
-        full, variants = np.zeros(len(key), bool), np.zeros(len(key), np.int64)
-        both = mix(key * np.uint64(0x9E3779B97F4A7C15) + whole)
+    def seal(self) -> None:
+        """Order every level by its full fingerprint too, once, for the scans."""
+        self.sealed = []
         for k, w, d in self.levels:
             cells = mix(k * np.uint64(0x9E3779B97F4A7C15) + w)
             order = np.argsort(cells)
-            at = np.minimum(np.searchsorted(cells[order], both), len(cells) - 1)
-            same = cells[order][at] == both
-            full |= same & (d[order][at] < docs)
-            near = np.searchsorted(k, key, "right") - np.searchsorted(k, key, "left")
-            variants += near - same  # suffixes of this level that differ
+            self.sealed.append((k, cells[order], d[order]))
+
+    def scan(self, key, whole, docs) -> tuple[np.ndarray, np.ndarray]:
+        """Of a sorted batch: is the suffix in a smaller document; do others share its first bytes only?"""
+        full, variants = np.zeros(len(key), bool), np.zeros(len(key), np.int64)
+        both = mix(key * np.uint64(0x9E3779B97F4A7C15) + whole)
+        by_cell = np.argsort(both)
+        ordered = both[by_cell]
+        for k, cells, d in self.sealed:
+            at = np.minimum(np.searchsorted(cells, ordered), len(cells) - 1)
+            same = cells[at] == ordered
+            full[by_cell] |= same & (d[at] < docs[by_cell])
+            variants += np.searchsorted(k, key, "right") - np.searchsorted(k, key, "left")
+            variants[by_cell] -= same
         return full, variants > 0
 
 
@@ -170,8 +178,11 @@ def remove_repeats(docs: DataFrame, width: int = 50, gram: int = GRAM, id_column
         family = Family()
         for d, k, w in batches:
             family.add(k, w, d)
+        family.seal()
         found = []
         for d, k, w in batches:
+            order = np.argsort(k)  # in step with the levels
+            d, k, w = d[order], k[order], w[order]
             full, near = family.scan(k, w, d)
             told = full | near
             both = mix(k[told] * np.uint64(0x9E3779B97F4A7C15) + w[told])
