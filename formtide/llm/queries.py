@@ -94,3 +94,10 @@ def op3_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     from formtide.llm.suffix_dedup import remove_repeats
 
     return remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formtide.llm.jaccard import similarity_classes
+
+    return similarity_classes(read_table(spark, sf_dir, "documents"))

@@ -137,8 +137,8 @@ class Family:
 
 
 def remove_repeats(docs: DataFrame, width: int = 50, gram: int = GRAM, id_column: str = "doc_id",
-                   text_column: str = "text", with_text: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept``, the text left) for every row.
+                   text_column: str = "text", with_text: bool = False, with_input: bool = False) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept``, ``input_sha256``) for every row.
 
     Texts count as UTF-8 bytes. A byte goes if a string of ``width`` bytes over it also starts in a row
     with a smaller id; strings are judged on the input. Null counts as empty. A null id neither finds
@@ -228,12 +228,15 @@ def remove_repeats(docs: DataFrame, width: int = 50, gram: int = GRAM, id_column
                     kept = s.data[a:b][~gone].tobytes()
                     spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
                     row = (int(b - a), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
-                    rows.append(row + (kept.decode("utf-8", "ignore"),) if with_text else row)
+                    row += (kept.decode("utf-8", "ignore"),) * with_text
+                    rows.append(row + (hashlib.sha256(s.data[a:b].tobytes()).hexdigest(),) * with_input)
                 columns = [pa.array(c) for c in zip(*rows)]
                 out.append(pa.RecordBatch.from_arrays([block.column("doc_id"), *columns], names))
-        types = [pa.int64()] * 4 + [pa.string()] * 2
+        types = [pa.int64()] * 4 + [pa.string()] * 3
         return pa.Table.from_batches(out, pa.schema(list(zip(names, types))))
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
+    names += ["input_sha256"] * with_input
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return join_answers(parted, heard_both, finish, schema + ", kept string" * with_text)
+    schema += ", kept string" * with_text + ", input_sha256 string" * with_input
+    return join_answers(parted, heard_both, finish, schema)
