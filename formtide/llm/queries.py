@@ -101,3 +101,10 @@ def op7_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     from formtide.llm.jaccard import similarity_classes
 
     return similarity_classes(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from formtide.llm.suffix_tree_lm import score_texts
+
+    return score_texts(read_table(spark, sf_dir, "documents"))
