@@ -108,3 +108,13 @@ def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from formtide.llm.suffix_tree_lm import score_texts
 
     return score_texts(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from formtide.llm.pieces import encode_texts
+
+    rows = encode_texts(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "restored", "ids")
