@@ -22,6 +22,9 @@ from formtide.llm.graph import components, local_roots, tiled
 from formtide.llm.neighbours import by_group
 
 
+LOW = np.uint64(0xFFFFFFFF)
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
     """Row and hash of every distinct run of ``n`` words; a text of fewer words is one shingle."""
     starts, ends, rows = words_of(data, offsets)
@@ -55,7 +58,10 @@ def runs_needed(threshold: float, breadth: float, depth: int, miss: float) -> in
 
 
 def paths(rows: np.ndarray, tokens: np.ndarray, n: int, runs: int, depth: int, breadth: float):
-    """For every level the row, key and parent's key of all nodes that sets reach."""
+    """For every level the row and key of all nodes that sets reach.
+
+    Below the first level the high half of a key is the low half of its parent's.
+    """
     sizes = np.bincount(rows, minlength=n)
     firsts = np.cumsum(sizes) - sizes
     chance = np.minimum(breadth / np.maximum(sizes, 1), 1.0)
@@ -66,7 +72,7 @@ def paths(rows: np.ndarray, tokens: np.ndarray, n: int, runs: int, depth: int, b
         chosen = tokens * (seed | np.uint64(1)) <= limit[rows]
         row, parent = rows[chosen], np.broadcast_to(seed, int(chosen.sum()))
         key = mix(parent + mix(tokens[chosen]))
-        levels[0].append((row, key, parent))
+        levels[0].append((row, key))
         for level in range(1, depth):
             # every node looks at all shingles of its set
             count = sizes[row]
@@ -74,8 +80,9 @@ def paths(rows: np.ndarray, tokens: np.ndarray, n: int, runs: int, depth: int, b
             at = firsts[row][node] + spans(count)
             chosen = tokens[at] * (mix(key)[node] | np.uint64(1)) <= limit[row][node]
             parent = key[node[chosen]]
-            row, key = row[node[chosen]], mix(parent + mix(tokens[at[chosen]]))
-            levels[level].append((row, key, parent))
+            own = mix(parent + mix(tokens[at[chosen]])) & LOW
+            row, key = row[node[chosen]], ((parent & LOW) << np.uint64(32)) | own
+            levels[level].append((row, key))
     return [tuple(np.concatenate(x) for x in zip(*level)) for level in levels]
 
 
@@ -86,24 +93,25 @@ def lists(rows: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
 
 
 def similarity_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, breadth: float = 1.3, depth: int = 3,
-                       miss: float = 1e-3, limit: int = 256, id_column: str = "doc_id",
+                       miss: float = 1e-3, limit: int = 256, tile: int = 1024, id_column: str = "doc_id",
                        text_column: str = "text") -> DataFrame:
     """``doc_id, n_links, class_id, kept`` for every row: links to other rows, smallest linked id.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged; a text of fewer than ``n`` words is one shingle. Rows with
-    equal shingle sets enter once with their number. Empty and null texts have no shingle and link with
+    equal shingle sets enter once with their number. Nodes above ``limit`` sets are split; on the last level
+    they are compared in tiles of parts of ``tile`` sets. Empty and null texts have no shingle and link with
     nothing; so does a row without an id, whose class is null and which is not kept.
     """
     runs = runs_needed(threshold, breadth, depth, miss)
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    fields = ["keys1"] + [f"{k}{i}" for i in range(2, depth + 1) for k in ("keys", "parents")]
-    schema = "doc_id long, set long, check long, size long, " + ", ".join(f"{f} array<long>" for f in fields)
+    fields = [f"keys{i}" for i in range(1, depth + 1)]
+    schema = "doc_id long, set long, size long, " + ", ".join(f"{f} array<long>" for f in fields)
 
     def digest(tokens, rows, count):
-        """Two sums over a set: its identity, and a check beside it."""
+        """Identity of a set: the sum of its mixed hashes."""
         ends = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=count))))
-        sums = [np.append(np.zeros(1, np.uint64), np.cumsum(x)) for x in (tokens, mix(tokens))]
-        return [mix(s[ends[1:]] - s[ends[:-1]]).view(np.int64) for s in sums]
+        sums = np.append(np.zeros(1, np.uint64), np.cumsum(mix(tokens)))
+        return mix(sums[ends[1:]] - sums[ends[:-1]]).view(np.int64)
 
     def walk(batches):
         hasher = Hasher()
@@ -112,13 +120,10 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, brea
                 rows, tokens = shingles(*text_bytes(block.column("text")), n, hasher)
                 count = block.num_rows
                 levels = paths(rows, tokens, count, runs, depth, breadth)
-                columns = [pa.array(x) for x in digest(tokens, rows, count)]
-                columns.append(pa.array(np.bincount(rows, minlength=count)))
-                columns.append(lists(levels[0][0], levels[0][1], count))
-                for row, key, parent in levels[1:]:
-                    columns += [lists(row, key, count), lists(row, parent, count)]
+                columns = [pa.array(digest(tokens, rows, count)), pa.array(np.bincount(rows, minlength=count))]
+                columns += [lists(row, key, count) for row, key in levels]
                 yield pa.RecordBatch.from_arrays(
-                    [block.column("doc_id"), *columns], ["doc_id", "set", "check", "size", *fields]
+                    [block.column("doc_id"), *columns], ["doc_id", "set", "size", *fields]
                 )
 
     walked = materialise(narrow.mapInArrow(walk, schema), "walks")
@@ -138,9 +143,8 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, brea
             break
         buckets.append(level.join(nodes.filter(F.col("n") <= limit), "key"))
         split = level.join(nodes.filter(F.col("n") > limit).select("key"), "key")
-        steps = F.explode(F.arrays_zip(F.col(f"keys{i + 1}").alias("c"), F.col(f"parents{i + 1}").alias("p")))
-        children = classes.join(split, "set").select("set", F.col("key").alias("_node"), steps.alias("s"))
-        level = children.filter("s.p = _node").select("set", F.col("s.c").alias("key")).distinct()
+        own = f"filter(keys{i + 1}, k -> shiftrightunsigned(k, 32) = (key & 4294967295L))"
+        level = classes.join(split, "set").select("set", F.explode(F.expr(own)).alias("key")).distinct()
     members = buckets[0]
     for more in buckets[1:]:
         members = members.unionByName(more)
@@ -151,7 +155,7 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, brea
     keys = members.groupBy("set").agg(F.collect_set("key").alias("keys"))
     rows = members.join(keys, "set").join(classes.select("set", "rep", "times"), "set")
     group = ["key", "tile_i", "tile_j"]
-    dealt = tiled(rows, ["key"], "set", limit)
+    dealt = tiled(rows, ["key"], "set", tile)
     dealt = dealt.join(narrow.withColumnRenamed("doc_id", "rep"), "rep")
     dealt = dealt.repartition(*group).sortWithinPartitions(*group)
 
@@ -161,12 +165,12 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, brea
             table = table.combine_chunks()
             size = table.num_rows
             rows, tokens = shingles(*text_bytes(table.column("text")), n, hasher)
-            sets = table.column("set").to_numpy()
+            sets, identity = table.column("set").to_numpy(), digest(tokens, rows, size)
             # of a repeated id, the text that belongs to the class, once
-            _, first = np.unique(np.where(digest(tokens, rows, size)[0] == sets, sets, 0), return_index=True)
+            _, first = np.unique(np.where(identity == sets, sets, 0), return_index=True)
             own = np.zeros(size, bool)
             own[first] = True
-            own &= digest(tokens, rows, size)[0] == sets
+            own &= identity == sets
             ids = np.flatnonzero(own)
             if len(ids) < 2:
                 continue

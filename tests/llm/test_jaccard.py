@@ -52,7 +52,7 @@ def brute(rows, threshold=0.8, n=5):
 @pytest.mark.parametrize("limit", [256, 16])
 def test_classes_against_brute_force(spark, limit):
     docs = near_copies(spark)
-    got = sorted((tuple(r) for r in similarity_classes(docs, limit=limit).collect()), key=repr)
+    got = sorted((tuple(r) for r in similarity_classes(docs, limit=limit, tile=limit).collect()), key=repr)
     expected = brute(docs.collect())
     assert sum(r[1] for r in expected) > 5000
     assert sum(r[1] for r in got) >= 0.99 * sum(r[1] for r in expected)
