@@ -56,7 +56,7 @@ def folder_paths(entries: DataFrame, root: str) -> DataFrame:
 def _files(entries: DataFrame) -> DataFrame:
     return (
         _live(entries)
-        .filter(F.col("mimeType") != FOLDER_MIME)
+        .filter(~F.col("mimeType").eqNullSafe(FOLDER_MIME))
         .select("id", "name", "mimeType", F.explode("parents").alias("folder_id"))
     )
 

@@ -29,7 +29,7 @@ def run_each(
         except Skipped as reason:
             return form, "skipped", 0, str(reason)
         except Exception as error:  # noqa: BLE001 - reported, not hidden
-            return form, "failed", None, f"{type(error).__name__}: {error}"[:2000]
+            return form, "failed", None, f"{type(error).__name__}: {error}"
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         rows = list(pool.map(attempt, forms))
