@@ -29,9 +29,10 @@ def write_and_read_csv(t):
     )
 
 
-@query("SELECT * FROM customer WHERE false")
+@query("SELECT * FROM customer")
 def empty_table(t):
-    return tables.empty_table(t.spark, t.customer.schema)
+    # rows appended to a table that has only a schema
+    return tables.empty_table(t.spark, t.customer.schema).union(t.customer)
 
 
 @query("SELECT event_type, event_id, value FROM events WHERE event_type = 'view'")
@@ -93,14 +94,24 @@ def submissions_round_trip(t):
     )
 
 
-@query()
+@query("SELECT DISTINCT 'event_type=' || event_type AS form FROM events")
 def list_objects(t):
-    return objects.list_objects(t.spark, t.folder, ".parquet")
+    media = t.scratch("media")
+    lines = t.events.select("event_type", F.col("event_id").cast("string").alias("value"))
+    lines.write.partitionBy("event_type").text(f"{media}/images")
+    listing = objects.list_objects(t.spark, media, ".txt")
+    return objects.media_objects(listing, "images").select("form").distinct()
 
 
-@query()
+@query("SELECT c_custkey, c_name AS pdf_file_id FROM customer")
 def latest_tables(t):
-    return gold.latest_tables(objects.list_objects(t.spark, t.folder))
+    # the later of two silver tables becomes the gold table
+    silver, target = t.scratch("silver"), t.scratch("gold")
+    name = F.col("c_name").alias("mailStatuses_0_pdfFileId")
+    tables.write_parquet(t.supplier.select("s_suppkey"), f"{silver}/ilum/z.parquet")
+    tables.write_parquet(t.customer.select("c_custkey", name), f"{silver}/ilum/a.parquet")
+    gold.run_gold(t.spark, silver, target, ["ilum"])
+    return t.spark.read.parquet(f"{target}/ilum/ilum.parquet")
 
 
 @query("SELECT sum(length(text) + 1)::BIGINT AS n_chars FROM documents")

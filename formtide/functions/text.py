@@ -12,7 +12,8 @@ import unicodedata
 from collections.abc import Callable
 from functools import partial
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,18 +188,30 @@ def spell_out_ligatures(value: Column | str) -> Column:
     return replace_in_order(as_column(value), LIGATURES)
 
 
-def _normalizer(form: str, ascii_only: bool = False):
-    """Arrow UDF for Unicode normalisation. Self-contained: executors need no copy of this package."""
+# Arrow's own kernel decomposes well but leaves text decomposed where NFC has to compose, so that
+# form comes from the standard library; a batch without such text passes as it is.
 
-    def normalize(text):
-        text = unicodedata.normalize(form, text)
-        return text.encode("ascii", "ignore").decode("ascii") if ascii_only else text
 
-    @F.pandas_udf(T.StringType())
-    def normalize_batch(texts: pd.Series) -> pd.Series:
-        return texts.map(normalize, na_action="ignore")
+def _composer():
+    """Arrow UDF: NFC. Self-contained: executors need no copy of this package."""
 
-    return normalize_batch
+    @F.arrow_udf(T.StringType())
+    def compose_batch(texts: pa.Array) -> pa.Array:
+        if texts.null_count == len(texts):
+            return texts
+        return pa.array([t and unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string())
+
+    return compose_batch
+
+
+def _ascii_folder():
+    """Arrow UDF: NFKD without what is not ASCII. Self-contained like the others."""
+
+    @F.arrow_udf(T.StringType())
+    def fold_batch(texts: pa.Array) -> pa.Array:
+        return pc.replace_substring_regex(pc.utf8_normalize(texts, form="NFKD"), r"[^\x00-\x7F]+", "")
+
+    return fold_batch
 
 
 def may_compose(text: Column) -> Column:
@@ -209,7 +222,7 @@ def may_compose(text: Column) -> Column:
 def compose_characters(value: Column | str) -> Column:
     """Unicode composed form (NFC); text that cannot change never leaves the JVM."""
     text = as_column(value)
-    return F.coalesce(_normalizer("NFC")(F.when(may_compose(text), text)), text)
+    return F.coalesce(_composer()(F.when(may_compose(text), text)), text)
 
 
 # What each step of the text fix acts on.
@@ -281,7 +294,7 @@ def ascii_fold(value: Column | str) -> Column:
     """
     text = F.translate(as_column(value), FOLD_FROM, FOLD_TO)
     rest = F.when(text.rlike(r"[\x{80}-\x{10FFFF}]"), text)
-    return F.coalesce(_normalizer("NFKD", ascii_only=True)(rest), text)
+    return F.coalesce(_ascii_folder()(rest), text)
 
 
 # -- maps of fields ---------------------------------------------------------------------------
@@ -290,12 +303,14 @@ def ascii_fold(value: Column | str) -> Column:
 def _compose_arrays():
     """Arrow UDF: NFC for every text of an array. Self-contained like the others."""
 
-    def compose(texts):
-        return [None if t is None else unicodedata.normalize("NFC", t) for t in texts]
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def compose_batch(arrays: pd.Series) -> pd.Series:
-        return arrays.map(compose, na_action="ignore")
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def compose_batch(arrays: pa.Array) -> pa.Array:
+        cells = arrays.flatten().to_pylist()
+        texts = pa.array([t and unicodedata.normalize("NFC", t) for t in cells], pa.string())
+        lengths = pc.fill_null(pc.list_value_length(arrays), 0).cast(pa.int32())
+        ends = pc.cumulative_sum(lengths)
+        offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+        return pa.ListArray.from_arrays(offsets, texts, mask=arrays.is_null())
 
     return compose_batch
 

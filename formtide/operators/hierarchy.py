@@ -37,7 +37,7 @@ def folder_paths(entries: DataFrame, root: str) -> DataFrame:
     )
     return entries.sparkSession.sql(
         """
-        WITH RECURSIVE walk(folder_id, path, trail) MAX RECURSION LEVEL 1000 AS (
+        WITH RECURSIVE walk(folder_id, path, trail) AS (
             SELECT :root, '', array(:root)
             UNION ALL
             SELECT f.id,

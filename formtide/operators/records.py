@@ -7,6 +7,8 @@ pass over the input: no shuffle, no second scan, no action.
 from __future__ import annotations
 
 import json
+import sys
+from decimal import Decimal
 from functools import reduce
 
 import pandas as pd
@@ -22,8 +24,7 @@ NATIVE_LEVELS = 8
 DEEP_LEAF = T.StructType(
     [
         T.StructField("path", T.StringType()),
-        T.StructField("value", T.StringType()),
-        T.StructField("kind", T.StringType()),
+        T.StructField("json", T.StringType()),
         T.StructField("level", T.IntegerType()),
         T.StructField("in_list", T.BooleanType()),
     ]
@@ -78,19 +79,30 @@ def kind_of(node: Column) -> Column:
 def _deep_leaves(sep: str, lists: bool):
     """Arrow UDF: leaves of record parts that lie deeper than the generators reach.
 
+    It only walks. A leaf is handed back as JSON that parses to the very value it was, so kind
+    and text of a deep leaf come from the same expressions as those of any other.
     Self-contained, so executors need no copy of this package to run it.
     """
     first_level = NATIVE_LEVELS + 1
 
-    def cell(value):
+    def as_json(value):
+        if isinstance(value, dict):
+            cells = (f"{json.dumps(key)}:{as_json(cell)}" for key, cell in value.items())
+            return "{" + ",".join(cells) + "}"
         if isinstance(value, list):
-            return json.dumps(value, ensure_ascii=False, separators=(",", ":")), "list"
-        if value is None or isinstance(value, bool):
-            return (None, "null") if value is None else (str(value).lower(), "bool")
-        return str(value), type(value).__name__
+            return "[" + ",".join(map(as_json, value)) + "]"
+        if isinstance(value, Decimal):
+            text = format(value, "f")
+            # an integer of up to 18 digits would parse as one, a decimal never was one
+            return text if "." in text or len(text.lstrip("-")) > 18 else f"{text}.0"
+        if isinstance(value, float):
+            # only numbers with an exponent parse as DOUBLE
+            text = repr(value)
+            return text if "e" in text else f"{text}e0"
+        return json.dumps(value, default=str)
 
     def unfold_part(part):
-        leaves, pending = [], [("", json.loads(part), first_level)]
+        leaves, pending = [], [("", part.toPython(), first_level)]
         while pending:
             path, node, level = pending.pop()
             in_list = isinstance(node, list)
@@ -99,11 +111,12 @@ def _deep_leaves(sep: str, lists: bool):
                 if isinstance(child, dict) or (lists and isinstance(child, list)):
                     pending.append((here, child, level + 1))
                 else:
-                    leaves.append((here, *cell(child), level, in_list))
+                    leaves.append((here, as_json(child), level, in_list))
         return leaves
 
     @F.pandas_udf(T.ArrayType(DEEP_LEAF))
     def unfold(parts: pd.Series) -> pd.Series:
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
         return parts.map(unfold_part, na_action="ignore")
 
     return unfold
@@ -164,20 +177,17 @@ def flatten_json(
     has_content = is_container & ~text.isin("{}", "[]")
     value = F.when(F.col("kind") == "list", text).otherwise(scalar_text(node))
     if depth is None:
-        rest = _deep_leaves(sep, explode_arrays)(F.when(has_content, text))
+        rest = _deep_leaves(sep, explode_arrays)(F.when(has_content, node))
         below = F.explode_outer(rest).alias("_below")
-        current = current.select("*", below).select(
+        current = current.select("*", below).filter(~is_container | F.col("_below").isNotNull())
+        current = current.select(
             *keep,
-            F.when(F.col("_below").isNull(), path)
-            .otherwise(F.concat(path, "_below.path"))
-            .alias("path"),
-            F.when(~is_container, value).otherwise(F.col("_below.value")).alias("value"),
-            F.coalesce("_below.kind", "kind").alias("kind"),
+            F.concat(path, F.coalesce("_below.path", F.lit(""))).alias("path"),
+            F.coalesce(F.try_parse_json("_below.json"), node).alias("_node"),
             F.coalesce("_below.level", "level").alias("level"),
             F.coalesce("_below.in_list", "in_list").alias("in_list"),
-            (is_container & F.col("_below").isNull()).alias("_empty"),
-        )
-        leaves = current.filter(~F.col("_empty")).drop("_empty")
+        ).withColumn("kind", kind)
+        leaves = current.select(*keep, "path", value.alias("value"), "kind", "level", "in_list")
     else:
         too_deep = F.raise_error(
             F.concat(F.lit(f"record deeper than the declared {depth} levels at "), path)

@@ -35,13 +35,18 @@ def landing_fields(
     return repair_fields(records) if repair else records
 
 
+def dated_submissions(
+    pages: DataFrame, floor: str = DATE_FLOOR, zone: str = "UTC"
+) -> DataFrame:
+    """Submissions of pages ``form, page, body`` that are dated from the floor on."""
+    return on_or_after(unpack_pages(pages), submission_date(F.col("element")), floor, zone)
+
+
 def landing_records(
     pages: DataFrame, depth: int | None = None, floor: str = DATE_FLOOR, zone: str = "UTC"
 ) -> DataFrame:
     """Pages ``form, page, body`` to ``form, fields``: dated from the floor on, flat, repaired."""
-    elements = unpack_pages(pages)
-    dated = on_or_after(elements, submission_date(F.col("element")), floor, zone)
-    return landing_fields(dated, depth)
+    return landing_fields(dated_submissions(pages, floor, zone), depth)
 
 
 def fields_to_json(fields: Column | str) -> Column:
@@ -58,14 +63,19 @@ def run_landing(
     zone: str = "UTC",
     parallel: int = 4,
 ) -> DataFrame:
-    """Write every form's records as JSON lines and report per form."""
+    """Write every form's records as JSON lines and report per form.
+
+    A form without valid submissions keeps what it has.
+    """
 
     def job(form: str) -> int:
-        records = landing_records(pages.filter(F.col("form") == form), depth, zone=zone)
+        submissions = dated_submissions(pages.filter(F.col("form") == form), zone=zone)
+        # a dated submission has a leaf, its date, so it becomes a record
+        if submissions.isEmpty():
+            raise Skipped("no valid submissions")
+        records = landing_fields(submissions, depth)
         lines, count = counted(records.select(fields_to_json("fields").alias("value")))
         lines.write.mode("overwrite").text(layer_path(landing_prefix, form, "json"))
-        if not count.get["rows"]:
-            raise Skipped("no valid submissions")
         return count.get["rows"]
 
     return run_each(spark, forms, job, parallel)

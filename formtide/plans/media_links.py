@@ -9,13 +9,12 @@ from formtide.functions.columns import quoted
 from formtide.functions.fixed_values import FORMS, LINK_SUBMISSION, MEDIA_KINDS
 from formtide.functions.paths import layer_path, public_url, strip_extension, text_after_prefix
 from formtide.operators.joins import link_media
-from formtide.operators.profile import counted
 from formtide.operators.project import drop_missing, id_column, link_columns, media_columns
 from formtide.operators.reshape import melt, single_media
 from formtide.operators.unions import concat_by_name
 from formtide.plans.report import Skipped, run_each
 from formtide.sources.objects import list_objects, media_objects
-from formtide.sources.tables import read_parquet_or_none, write_parquet
+from formtide.sources.tables import read_parquet_or_none, replace_unless_empty
 
 
 def form_media(table: DataFrame, form: str, kind: str) -> DataFrame | None:
@@ -71,8 +70,15 @@ def run_media_links(
     forms: list[str] = FORMS,
     kinds: list[str] = list(MEDIA_KINDS),
     parallel: int = 3,
+    listing: DataFrame | None = None,
 ) -> DataFrame:
-    """Write one link table per media kind, all forms in one plan, and report per kind."""
+    """Write one link table per media kind, all forms in one plan, and report per kind.
+
+    ``listing``, a frame with a ``path`` per object such as a bucket inventory, takes the place
+    of a listing of ``media_prefix``, which passes through the driver. A kind without links
+    keeps the table it has.
+    """
+    found = list_objects(spark, media_prefix, min_size=0) if listing is None else listing
     tables = {
         form: table
         for form in forms
@@ -84,11 +90,11 @@ def run_media_links(
         references = media_references(tables, kind)
         if references is None:
             raise Skipped("no media columns")
-        objects = media_objects(list_objects(spark, media_prefix, min_size=0), kind, forms)
-        table, count = counted(media_links(references, object_links(objects, bucket, key_prefix), kind))
-        write_parquet(table, layer_path(gold_prefix, kind, "parquet"))
-        if not count.get["rows"]:
+        objects = media_objects(found, kind, forms)
+        table = media_links(references, object_links(objects, bucket, key_prefix), kind)
+        rows = replace_unless_empty(table, layer_path(gold_prefix, kind, "parquet"))
+        if not rows:
             raise Skipped("no links")
-        return count.get["rows"]
+        return rows
 
     return run_each(spark, kinds, job, parallel)

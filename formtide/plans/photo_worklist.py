@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formtide.functions.fixed_values import PHOTO_PREFIX
-from formtide.functions.paths import base_name, file_id_of_reference, path_segment, strip_extension
+from formtide.functions.fixed_values import FORMS, PHOTO_PREFIX
+from formtide.functions.paths import (
+    base_name,
+    file_id_of_reference,
+    layer_path,
+    path_segment,
+    strip_extension,
+)
 from formtide.functions.text import ascii_fold
 from formtide.operators.records import find_by_prefix
+from formtide.plans.report import Skipped, run_each
+from formtide.sources.submissions import read_submissions
+from formtide.sources.tables import replace_unless_empty
 
 
 def photo_references(records: DataFrame, depth: int | None = None) -> DataFrame:
@@ -68,3 +77,29 @@ def photo_metadata(worklist: DataFrame, source: str, moment: Column | None = Non
     }
     missing = worklist.filter(F.col("status") == "missing")
     return missing.select(*[ascii_fold(value).alias(name) for name, value in values.items()])
+
+
+def run_photo_worklist(
+    spark: SparkSession,
+    landing_prefix: str,
+    listing: DataFrame,
+    target_prefix: str,
+    forms: list[str] = FORMS,
+    parallel: int = 4,
+) -> DataFrame:
+    """Write every form's work-list from its landing records and report per form.
+
+    ``listing`` has a ``path`` per stored photo. A form without photos keeps what it has.
+    """
+    stored = stored_photos(listing)
+
+    def job(form: str) -> int:
+        records = read_submissions(spark, layer_path(landing_prefix, form, "json"))
+        references = photo_references(records.withColumn("form", F.lit(form)))
+        work = photo_worklist(references, stored.filter(F.col("form") == form))
+        rows = replace_unless_empty(work, layer_path(target_prefix, form, "parquet"))
+        if not rows:
+            raise Skipped("no photos")
+        return rows
+
+    return run_each(spark, forms, job, parallel)

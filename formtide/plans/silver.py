@@ -86,11 +86,11 @@ def run_silver(
         silver = route_table(bronze, name)
         if silver is None:
             raise Skipped("no form matches the name")
+        if silver.isEmpty():
+            raise Skipped("empty table")
         table, count = counted(silver)
         target = f"{silver_prefix.rstrip('/')}/{route_name(name)}/{name}"
         write_parquet(table, f"{target}.parquet")
-        if not count.get["rows"]:
-            raise Skipped("empty table")
         if export:
             write_pipe_csv(spark.read.parquet(f"{target}.parquet"), f"{target}.csv")
         return count.get["rows"]

@@ -13,8 +13,9 @@ SESSION_CONF = {
     "spark.sql.caseSensitive": "true",
     # a JSON object that repeats a key keeps the last value
     "spark.sql.variant.allowDuplicateKeys": "true",
-    # the folder walk is bounded by the data, not by a row cap
+    # the folder walk is bounded by the data, not by a cap on rows or levels
     "spark.sql.cteRecursionRowLimit": "-1",
+    "spark.sql.cteRecursionLevelLimit": "-1",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import os
+import uuid
 from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from formtide.operators.profile import counted
+from formtide.session import ensure_checkpoint_dir
+
 
 def table_format(uri: str, options: dict | None = None) -> str:
     """Format named in the options, else the extension of the path."""
@@ -71,3 +75,18 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def replace_unless_empty(df: DataFrame, path: str) -> int:
+    """Replace a Parquet table and return its rows; a result without rows leaves it as it is.
+
+    The result is computed once, into the shared checkpoint folder, and copied from there.
+    """
+    spark = df.sparkSession
+    staged = f"{ensure_checkpoint_dir(spark)}/formtide-{uuid.uuid4().hex}/staged"
+    result, count = counted(df)
+    write_parquet(result, staged)
+    rows = count.get["rows"]
+    if rows:
+        write_parquet(spark.read.parquet(staged), path)
+    return rows

@@ -167,6 +167,48 @@ def test_silver_reads_no_other_columns_and_does_not_shuffle(spark, tmp_path):
     assert "Exchange" not in text and "Python" not in text and "unlisted_column" not in text
 
 
+def test_empty_runs_keep_the_layers(spark, tmp_path):
+    base = str(tmp_path)
+    page = json.dumps({"elements": [submission(1, **FORM_DATA["ilum"])]})
+    good = spark.createDataFrame([("ilum", 0, page)], "form string, page int, body string")
+    empty = good.withColumn("body", F.lit('{"elements":[]}'))
+    photos = spark.createDataFrame([("m/images/ilum/p1.jpg",)], "path string")
+    none = photos.filter("path IS NULL")
+
+    def tables():
+        names = [f"{base}/landing/ilum/ilum.json", f"{base}/silver/ilum/ilum.parquet", f"{base}/gold/images/images.parquet"]
+        return [spark.read.format("text" if n.endswith("json") else "parquet").load(n).collect() for n in names]
+
+    def status(report):
+        return [(r.status, r.rows) for r in report.collect()]
+
+    assert status(landing.run_landing(spark, good, f"{base}/landing", ["ilum"])) == [("done", 1)]
+    bronze.run_bronze(spark, f"{base}/landing", f"{base}/bronze", ["ilum"])
+    assert status(silver.run_silver(spark, f"{base}/bronze", f"{base}/silver", ["ilum"])) == [("done", 1)]
+    gold.run_gold(spark, f"{base}/silver", f"{base}/gold", ["ilum"])
+
+    def link(listing):
+        return media_links.run_media_links(spark, f"{base}/gold", "", "b", kinds=["images"], listing=listing)
+
+    assert status(link(photos)) == [("done", 1)]
+    before = tables()
+    assert all(before)
+
+    assert status(landing.run_landing(spark, empty, f"{base}/landing", ["ilum"])) == [("skipped", 0)]
+    spark.read.parquet(f"{base}/bronze/ilum/ilum.parquet").limit(0).write.parquet(f"{base}/bronze2/ilum/ilum.parquet")
+    assert status(silver.run_silver(spark, f"{base}/bronze2", f"{base}/silver", ["ilum"])) == [("skipped", 0)]
+    assert status(link(none)) == [("skipped", 0)]
+    assert tables() == before
+
+
+def test_run_photo_worklist(spark, layers, tmp_path):
+    listing = spark.createDataFrame([("fotos/ilum/p1.jpg",), ("fotos/irsf/p2.jpg",)], "path string")
+    done = photo_worklist.run_photo_worklist(spark, f"{layers[0]}/landing", listing, f"{tmp_path}/w", ["ilum", "zz"])
+    assert {r.form: (r.status, r.rows) for r in done.collect()} == {"ilum": ("done", 2), "zz": ("failed", None)}
+    work = spark.read.parquet(layer_path(f"{tmp_path}/w", "ilum", "parquet"))
+    assert rows(work.select("file_id", "status")) == [("p1", "present"), ("p2", "missing")]
+
+
 def test_photo_worklist(spark):
     def record(*refs):
         return json.dumps({"data": {f"foto{i}": r for i, r in enumerate(refs)}, "l": ["gridfs://x/no"]})

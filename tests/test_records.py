@@ -71,6 +71,32 @@ def test_random_documents_of_any_depth(spark):
         assert {k: comparable(v) for k, v in mine.items()} == expected
 
 
+def test_deep_leaves_equal_those_of_generators(spark, monkeypatch):
+    rng = random.Random(11)
+    numbers = ["2.0", "1e20", "0.00001", "0.0", "-0.0", "1e3", "7", "100.00", "1.50", "1e-7", "123456789012345678901",
+               "12345678901234567890.0", "9223372036854775807", "1.7976931348623157e308", "-12.340"]
+    cells = [*numbers, "null", "true", '"x"', '"é \\"q\\" \\\\ \\ud83d\\ude00"', "{}", "[]", "[1.0,[2e0,{}]]"]
+
+    def nested(depth):
+        inner = nested(depth - 1) if depth else rng.choice(cells)
+        return f"[{inner},{rng.choice(cells)}]" if rng.random() < 0.4 else f'{{"k":{inner},"n":{rng.choice(cells)}}}'
+
+    df = frame(spark, [nested(rng.randrange(10)) for _ in range(300)])
+    monkeypatch.setattr(records, "NATIVE_LEVELS", 3)
+    names = ["id", "path", "value", "kind", "level", "in_list"]
+    for lists in (True, False):
+        deep = records.flatten_json(df, "doc", explode_arrays=lists).select(*names)
+        native = records.flatten_json(df, "doc", explode_arrays=lists, depth=14).select(*names)
+        rows = sorted(map(tuple, deep.collect()), key=str)
+        assert rows == sorted(map(tuple, native.collect()), key=str) and max(r[4] for r in rows) > 8
+
+    flat = f"[{','.join(cells)}]"
+    rows = records.flatten_json(frame(spark, [flat, '{"k":' * 30 + flat + "}" * 30]), "doc").collect()
+    shallow, deep = ({r.path.split("_", 1 - i)[-1].replace("k_", ""): (r.value, r.kind) for r in rows if r.id == i}
+                     for i in (0, 1))
+    assert len(shallow) == len(deep) > 20 and {k.lstrip("_"): v for k, v in shallow.items()} == deep
+
+
 def test_special_documents(spark):
     documents = ['{"":{"a":1}}', "[1,{\"x\":2}]", "5", "null", "bad", "{}", '{"a":1,"a":2}', '{"M":1,"m":2}', None]
     got = collected(records.flatten_json(frame(spark, documents), "doc"), len(documents))
