@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from formtide.session import ensure_checkpoint_dir
 
 # Bytes of text that a task turns into arrays at once; a longer document is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 BASE = np.uint64(0x9E3779B97F4A7C13)  # odd and 3 mod 4
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
