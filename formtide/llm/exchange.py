@@ -18,7 +18,7 @@ from formtide.llm.common import mix
 
 PRIME = 1_000_003
 # Bytes of text per bucket of keys and per bucket of documents.
-KEY_BUCKET, DOC_BUCKET = 24 << 20, 4 << 20
+KEY_BUCKET, DOC_BUCKET = 8 << 20, 4 << 20
 SENT = "bucket int, docs binary, keys binary, marks binary"
 
 
