@@ -1,14 +1,17 @@
 """Language-model scores by a probabilistic suffix tree (operator 6).
 
-Symbols are the words that make up at least ``least_share`` of the training tokens, the end of a text,
-and one symbol for all other words. Contexts of up to ``depth`` symbols that are as frequent are tested:
-a context stays if its next symbols diverge from those of its suffix (G-test against a threshold per
-degree of freedom). Distributions are smoothed by discounting towards the suffix's; a text is scored with
-the longest context in the tree before every token. Another word's share of its symbol is its share in
-the base model, so all probabilities of a state sum to one.
-
-Counts cover all training documents. Words are counted in their bucket's task; a bucket of documents
-asks for its distinct words and hears their counts in the order in which it asked.
+Every word and the end of a text are symbols. A context of up to ``depth`` symbols is tested if it occurs
+``least_count`` times in the training rows, so that the tree grows with the data: it stays if its next
+symbols diverge from those of its suffix (G-test against a threshold per degree of freedom).
+Distributions are smoothed by discounting towards the suffix's; a text is scored with the longest
+context in the tree before every token. All probabilities of a state sum to one.
+
+No task holds the tree. Documents, by bucket, send their distinct runs (context and next symbol) with
+their number and the suffix's probability to the task of the context, which counts, tests and answers
+with the probability in the order of the question; one round per length. Only runs whose context is
+frequent go out: that is known from the round before, since a context was a run there. A context with
+more than the share ``hot`` of all tokens (at most ``1/hot`` of a length) is dealt over all tasks by its
+next symbols; its sums meet on the driver. Probabilities travel as 32-bit logarithms.
 """
 
 from __future__ import annotations
@@ -18,13 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formtide.llm.common import LOWER, Hasher, blocks, materialise, mix, text_bytes, words_of
+from formtide.llm.common import LOWER, Hasher, blocks, mix, settled, text_bytes, words_of
 from formtide.llm.exchange import join_answers, with_buckets
 from formtide.llm.sampling import remainder
 
 END = np.uint64(1)
 PACKED = "bucket int, source int, keys binary, counts binary"
 NAMES = ["bucket", "source", "keys", "counts"]
+ASKED = "bucket int, source int, contexts binary, runs binary, symbols binary, n binary, p binary"
+ASKED_NAMES = ["bucket", "source", "contexts", "runs", "symbols", "n", "p"]
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens_of(block: pa.RecordBatch, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +106,10 @@ def count_keys(docs: DataFrame, keys_of, deal, n: int, most: int = 1 << 21) -> D
 
 
 class Tree:
-    """States of the tree with their dense log10 probabilities per symbol (0: other words, 1: end)."""
+    """A small tree as one dense table, by the same rules: for tests and vocabularies of fixed size.
+
+    States of the tree with their dense log10 probabilities per symbol (0: other words, 1: end).
+    """
 
     def __init__(self, words: np.ndarray, contexts: list[np.ndarray], states: list[np.ndarray], table: np.ndarray):
         self.words, self.contexts, self.states, self.table = words, contexts, states, table
@@ -177,22 +186,163 @@ def build_tree(words: np.ndarray, counts: np.ndarray, total: int, distinct: int,
     return Tree(words, contexts, states, np.log10(np.array(rows_)))
 
 
-def score_texts(docs: DataFrame, least_share: float = 1e-3, depth: int = 2, evidence: float = 4.0,
+class Runs:
+    """The tokens of a bucket of documents with what is known of the runs of symbols that end there."""
+
+    def __init__(self, table: pa.Table):
+        hasher, rows, tokens, held, self.n = Hasher(), [], [], [], 0
+        for batch in table.combine_chunks().to_batches():
+            for block in blocks(batch):
+                r, t = tokens_of(block, hasher)
+                rows.append(r + self.n)
+                tokens.append(t)
+                held.append(block.column("held_out").to_numpy(zero_copy_only=False)[r])
+                self.n += block.num_rows
+        self.rows = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        self.tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
+        self.train = ~np.concatenate(held).astype(bool) if held else np.zeros(0, bool)
+        self.words, self.word = np.unique(self.tokens, return_inverse=True)
+
+    def start(self, number: np.ndarray, scale: float, limits: tuple[float, float]) -> None:
+        """Length 0: counts of ``words``."""
+        self.number = number[self.word]
+        self.base = np.log10((self.number + 1) / scale)
+        self.score = self.base.copy()
+        self.run = self.tokens
+        self.often = (self.number >= limits[0]).astype(np.uint8) + (self.number >= limits[1])
+
+    def ask(self, length: int, n_keys: int) -> None:
+        """Distinct runs of ``length`` symbols and a next one whose context is frequent, by bucket."""
+        size = len(self.tokens)
+        at = np.arange(length, size) if size > length else np.zeros(0, np.int64)
+        at = at[(self.rows[at] == self.rows[at - length]) & (self.often[at - 1] > 0)]
+        context, symbol = self.run[at - 1], self.tokens[at]
+        order = np.lexsort((symbol, context))
+        at, context, symbol = at[order], context[order], symbol[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (context[1:] != context[:-1]) | (symbol[1:] != symbol[:-1])
+        run = np.cumsum(new) - 1
+        first = at[new]
+        self.times = np.bincount(run, self.train[at], len(first)).astype(np.uint32)
+        self.context, self.symbol = context[new], symbol[new]
+        self.before = self.score[first].astype(np.float32)
+        hot = self.often[first - 1] > 1
+        to = np.where(hot, n_keys + bucket_of(run_keys(self.context, self.symbol), n_keys), bucket_of(self.context, n_keys))
+        self.order = np.argsort(to.astype(np.uint16 if 2 * n_keys <= 1 << 16 else np.int64), kind="stable")
+        self.to, self.at, self.of = to[self.order], at, run
+
+    def questions(self, source: int, part: int, parts: int) -> pa.RecordBatch:
+        """One row per bucket; those of a remainder."""
+        buckets, starts = np.unique(self.to, return_index=True)
+        ends = np.append(starts[1:], len(self.to))
+        mine = buckets % parts == part
+        buckets, columns = buckets[mine], [[] for _ in range(5)]
+        for a, b in zip(starts[mine], ends[mine]):
+            own = self.order[a:b]
+            context = self.context[own]
+            new = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+            runs = np.diff(np.append(new, len(own))).astype(np.uint32)
+            for column, x in zip(columns, (context[new], runs, self.symbol[own], self.times[own], self.before[own])):
+                column.append(x.tobytes())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(buckets, pa.int32()), pa.array([source] * len(buckets), pa.int32())]
+            + [pa.array(c, pa.binary()) for c in columns], ASKED_NAMES,
+        )
+
+    def hear(self, heard: dict, length: int, n_keys: int, hot: tuple, limits: tuple, discount: float) -> None:
+        """Answers by bucket, in the order of the questions: the scores and runs of the next length."""
+        value, often = np.full(len(self.to), np.nan), np.zeros(len(self.to), np.uint8)
+        buckets, starts = np.unique(self.to, return_index=True)
+        for bucket, a, b in zip(buckets.tolist(), starts, np.append(starts[1:], len(self.to))):
+            flags, told = heard[bucket]
+            if bucket < n_keys:
+                value[a:b], often[a:b] = np.frombuffer(told, np.float32), np.frombuffer(flags, np.uint8)
+                continue
+            own, n = self.order[a:b], np.frombuffer(told, np.float64)
+            keys, total, free, kept = hot
+            place = np.searchsorted(keys, self.context[own])
+            before = 10.0 ** self.before[own].astype(float)
+            after = (n - np.minimum(n, discount) + free[place] * before) / total[place]
+            value[a:b] = np.where(kept[place], np.log10(after), np.nan)
+            often[a:b] = (n >= limits[0]).astype(np.uint8) + (n >= limits[1])
+        back = np.empty(len(self.order), np.int64)
+        back[self.order] = np.arange(len(self.order))
+        value, often = value[back][self.of], often[back][self.of]
+        known = ~np.isnan(value)
+        self.score[self.at[known]] = value[known]
+        self.often = np.zeros(len(self.tokens), np.uint8)
+        self.often[self.at] = often
+        run = np.zeros(len(self.tokens), np.uint64)
+        run[self.at] = run_keys(self.context, self.symbol)[self.of]
+        self.run = run
+
+
+def run_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    return mix(context * ODD + symbol)
+
+
+def answers(table: pa.Table, n_keys: int, limits: tuple, evidence: float, discount: float) -> pa.Table:
+    """Probabilities after the contexts of a bucket; counts and sums (bucket -1) for a part of hot ones."""
+    kinds = (np.uint64, np.uint32, np.uint64, np.uint32, np.float32)
+    columns = [[np.frombuffer(x, k) for x in table.column(c).to_pylist()] for c, k in zip(ASKED_NAMES[2:], kinds)]
+    context = np.concatenate([np.repeat(c, r) for c, r in zip(*columns[:2])])
+    cuts = np.cumsum([len(x) for x in columns[2]])[:-1]
+    symbol, n, p = (np.concatenate(c) for c in columns[2:])
+    order = np.lexsort((symbol, context))
+    sorted_context, sorted_symbol = context[order], symbol[order]
+    other = np.append(True, sorted_context[1:] != sorted_context[:-1])
+    new = other | np.append(True, sorted_symbol[1:] != sorted_symbol[:-1])
+    firsts = np.flatnonzero(new)
+    times = np.add.reduceat(n[order].astype(float), firsts)
+    before = p[order][firsts].astype(float)
+    edges = np.flatnonzero(other[firsts])
+    some = times > 0
+    total, distinct, free, gain = (
+        np.add.reduceat(x, edges)
+        for x in (times, some.astype(float), np.minimum(times, discount),
+                  times * (np.log(np.maximum(times, 1)) - before * np.log(10)))
+    )
+    own = np.empty(len(order), np.int64)
+    own[order] = np.cumsum(new) - 1
+    bucket, sources = table.column("bucket")[0].as_py(), table.column("source").to_pylist()
+    rows = []
+    if bucket >= n_keys:
+        flags, told = None, times[own]
+        sums = np.stack([total, distinct, free, gain], axis=1)
+        rows.append((-1, bucket, sorted_context[firsts][edges].tobytes(), sums.tobytes()))
+    else:
+        kept = stays(total, distinct, gain, evidence)
+        place = np.cumsum(other[firsts]) - 1
+        after = (times - np.minimum(times, discount) + free[place] * 10.0**before) / np.maximum(total, 1)[place]
+        told = np.where(kept[place], np.log10(np.maximum(after, 1e-300)), np.nan).astype(np.float32)[own]
+        flags = ((times >= limits[0]).astype(np.uint8) + (times >= limits[1]).astype(np.uint8))[own]
+    flags = np.split(flags, cuts) if flags is not None else [np.zeros(0)] * len(sources)
+    rows += [(s, bucket, f.tobytes(), t.tobytes()) for s, f, t in zip(sources, flags, np.split(told, cuts))]
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), schema_of_packed())], schema=schema_of_packed())
+
+
+def stays(total: np.ndarray, distinct: np.ndarray, gain: np.ndarray, evidence: float) -> np.ndarray:
+    """Contexts that occur and diverge from their suffix; ``gain``: the sum of n (log n - log p)."""
+    return (total > 0) & (2 * (gain - total * np.log(np.maximum(total, 1))) >= evidence * distinct)
+
+
+def score_texts(docs: DataFrame, least_count: int = 16, depth: int = 2, evidence: float = 4.0,
                 discount: float = 0.75, divisor: int = 7, held: int = 2, id_column: str = "doc_id",
-                text_column: str = "text") -> DataFrame:
+                text_column: str = "text", least_share: float = 0.0, hot: float = 1e-3,
+                passes: int = 3) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
     Learns from rows with ``crc32(id) mod divisor <> held``, rows without an id included. Null counts as
-    the empty text, which has one token, its end. At most ``1/least_share`` words are symbols and at most
-    that many contexts of each length are tested, so the tree, which every task gets, has a fixed bound.
-    Without training rows every token has the base probability 1.
+    the empty text, which has one token, its end. Contexts that occur ``least_count`` times are tested;
+    a ``least_share`` of the training tokens asks for more. Runs are exchanged in
+    ``passes`` over the key buckets, since disk holds one pass at a time. Without training rows every token has the base probability 1.
     """
     parted, n_docs, n_keys = with_buckets(docs, id_column, text_column)
     held_out = F.coalesce(remainder("doc_id", divisor) == held, F.lit(False)).alias("held_out")
     train = parted.filter(~held_out).select("text")
     spark = docs.sparkSession
 
-    totals = materialise(count_keys(train, lambda b, h: tokens_of(b, h)[1], bucket_of, n_keys), "totals")
+    totals = settled(count_keys(train, lambda b, h: tokens_of(b, h)[1], bucket_of, n_keys), "totals")
 
     def sums(batches):
         for batch in batches:
@@ -203,51 +353,8 @@ def score_texts(docs: DataFrame, least_share: float = 1e-3, depth: int = 2, evid
 
     total, distinct = totals.mapInArrow(sums, "tokens long, words long").agg(F.sum("tokens"), F.sum("words")).first()
     total, distinct = total or 0, distinct or 0
-    least = max(least_share * total, 1)
-
-    def frequent(batches):
-        for batch in batches:
-            for keys, counts in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-                keys, counts = np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64)
-                own = (counts >= least) | (keys == END)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[own].view(np.int64)), pa.array(counts[own])], ["word", "n"]
-                )
-
-    found = totals.mapInArrow(frequent, "word long, n long").collect()
-    ends = sum(r.n for r in found if r.word == int(END))
-    words = np.array([r.word for r in found if r.word != int(END)], np.int64).view(np.uint64)
-    counts = np.array([r.n for r in found if r.word != int(END)], np.int64)[np.argsort(words)]
-    words = np.sort(words)
-    symbols_only = Tree(words, [], [], np.zeros((1, 1)))
-
-    grams = []
-    for length in range(1, depth + 1):
-
-        def grams_of(block, hasher, length=length):
-            rows, tokens = tokens_of(block, hasher)
-            keys = gram_keys(symbols_only.symbols(tokens), rows, length + 1)
-            return keys[rows[length:] == rows[: max(len(rows) - length, 0)]]
-
-        def frequent_contexts(batches):
-            """All next symbols of contexts that are frequent enough; a bucket holds whole contexts."""
-            for batch in batches:
-                for keys, numbers in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-                    keys, numbers = np.frombuffer(keys, np.uint64), np.frombuffer(numbers, np.int64)
-                    _, at = np.unique(keys // BASE_SYMBOLS, return_inverse=True)
-                    own = np.bincount(at, numbers)[at] >= least
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[own].view(np.int64)), pa.array(numbers[own])], ["gram", "n"]
-                    )
-
-        by_context = lambda keys, n: bucket_of(keys // BASE_SYMBOLS, n)
-        rows = count_keys(train, grams_of, by_context, n_keys).mapInArrow(frequent_contexts, "gram long, n long")
-        rows = rows.collect()
-        keys = np.array([r.gram for r in rows], np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        grams.append((keys[order], np.array([r.n for r in rows], float)[order]))
-    tree = build_tree(words, counts, total, distinct, ends, grams, least, evidence, discount)
     scale = float(total + distinct + 1)
+    limits = (max(least_share * total, least_count, 1), max(hot * total, 1))
 
     def ask(table: pa.Table) -> pa.Table:
         """The distinct words of a bucket of documents, by their bucket, in order."""
@@ -280,31 +387,43 @@ def score_texts(docs: DataFrame, least_share: float = 1e-3, depth: int = 2, evid
             schema=schema_of_packed(),
         )
 
-    def finish(texts: pa.Table, heard: pa.Table) -> pa.Table:
-        hasher, out = Hasher(), []
-        keys = distinct_tokens(texts, hasher)
-        number = np.zeros(len(keys), np.int64)
-        to = bucket_of(keys, n_keys)
-        for source, counts_ in zip(heard.column("source").to_pylist(), heard.column("counts").to_pylist()):
-            number[to == source] = np.frombuffer(counts_, np.int64)
-        base = np.log10((number + 1) / scale)
-        for batch in texts.combine_chunks().to_batches():
-            for block in blocks(batch):
-                rows, tokens = tokens_of(block, hasher)
-                at = np.searchsorted(keys, tokens)
-                symbols = tree.symbols(tokens)
-                own = base[at]
-                other = symbols == 0
-                score = tree.log10(symbols, rows) + np.where(other, own - tree.table[0, 0], 0.0)
-                count = block.num_rows
-                per_row = [np.bincount(rows, w, count) for w in (number[at] > 0, own, score)]
-                out.append(pa.RecordBatch.from_arrays(
-                    [block.column("doc_id"), block.column("held_out"), pa.array(np.bincount(rows, minlength=count)),
-                     pa.array(per_row[0].astype(np.int64)), pa.array(np.full(count, total, np.int64)),
-                     pa.array(per_row[1]), pa.array(per_row[2])], names,
-                ))
+    def runs_of(texts: pa.Table, heard: pa.Table, length: int, hots: list) -> Runs:
+        """The runs of a bucket after the answers of all lengths below ``length``, its question ready."""
+        runs, told = Runs(texts), {}
+        columns = (heard.column(c).to_pylist() for c in ("source", "keys", "counts"))
+        for source, keys, counts in zip(*columns):
+            told.setdefault(source // (2 * n_keys), {})[source % (2 * n_keys)] = (keys, counts)
+        number = np.zeros(len(runs.words), np.int64)
+        to = bucket_of(runs.words, n_keys)
+        for source, (_, counts) in told.get(0, {}).items():
+            number[to == source] = np.frombuffer(counts, np.int64)
+        runs.start(number, scale, limits)
+        for i in range(1, length):
+            runs.ask(i, n_keys)
+            runs.hear(told.get(i, {}), i, n_keys, hots[i - 1], limits, discount)
+        return runs
+
+    def ask_runs(length: int, hots: list, part: int):
+        def run(texts: pa.Table, heard: pa.Table) -> pa.Table:
+            runs = runs_of(texts, heard, length, hots)
+            runs.ask(length, n_keys)
+            batch = [] if not texts.num_rows else [runs.questions(texts.column("bucket")[0].as_py(), part, passes)]
+            kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 5
+            return pa.Table.from_batches(batch, pa.schema(list(zip(ASKED_NAMES, kinds))))
+
+        return run
+
+    def finish(texts: pa.Table, heard: pa.Table, hots: list) -> pa.Table:
+        runs = runs_of(texts, heard, depth + 1, hots)
+        count = runs.n
+        per_row = [np.bincount(runs.rows, w, count) for w in (runs.number > 0, runs.base, runs.score)]
         types = [pa.int64(), pa.bool_()] + [pa.int64()] * 3 + [pa.float64()] * 2
-        return pa.Table.from_batches(out, pa.schema(list(zip(names, types))))
+        texts = texts.combine_chunks()
+        return pa.table(
+            [texts.column("doc_id"), texts.column("held_out"), pa.array(np.bincount(runs.rows, minlength=count)),
+             pa.array(per_row[0].astype(np.int64)), pa.array(np.full(count, total, np.int64)),
+             pa.array(per_row[1]), pa.array(per_row[2])], schema=pa.schema(list(zip(names, types))),
+        )
 
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     schema = (
@@ -313,4 +432,32 @@ def score_texts(docs: DataFrame, least_share: float = 1e-3, depth: int = 2, evid
     ready = parted.select("doc_id", "text", "bucket", held_out)
     asked = ready.groupBy("bucket").applyInArrow(ask, PACKED)
     told = asked.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(tell, PACKED)
-    return join_answers(ready, told, finish, schema)
+    heard, hots = settled(told, "words"), []
+    for length in range(1, depth + 1):
+        told = None
+        for part in range(passes):
+            asked = join_answers(ready, heard, ask_runs(length, list(hots), part), ASKED)
+            tell_runs = lambda table: answers(table, n_keys, limits, evidence, discount)
+            more = settled(asked.groupBy("bucket").applyInArrow(tell_runs, PACKED), f"runs{length}_{part}")
+            told = more if told is None else told.unionByName(more)
+        hots.append(hot_contexts(told.filter("bucket < 0"), evidence))
+        moved = F.col("source") + F.lit(length * 2 * n_keys).cast("int")
+        heard = heard.unionByName(told.filter("bucket >= 0").withColumn("source", moved))
+    return join_answers(ready, heard, lambda texts, heard: finish(texts, heard, hots), schema)
+
+
+def hot_contexts(parts: DataFrame, evidence: float) -> tuple[np.ndarray, ...]:
+    """Contexts dealt over many tasks, of which a length has a bounded number: count, free mass, if it stays."""
+
+    def unpack(batches):
+        for batch in batches:
+            for keys, sums in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
+                sums = np.frombuffer(sums).reshape(-1, 4)
+                columns = [np.frombuffer(keys, np.int64), *sums.T.copy()]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "a", "b", "c", "d"])
+
+    sums = parts.mapInArrow(unpack, "key long, a double, b double, c double, d double").groupBy("key")
+    found = sums.agg(*[F.sum(c).alias(c) for c in "abcd"]).collect()
+    keys = np.array([r.key for r in found], np.int64).view(np.uint64)
+    total, distinct, free, gain = np.array([r[1:] for r in found], float).reshape(-1, 4)[np.argsort(keys)].T
+    return np.sort(keys), total, free, stays(total, distinct, gain, evidence)

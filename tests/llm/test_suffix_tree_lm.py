@@ -1,9 +1,11 @@
 import math
+import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from formtide.llm.suffix_tree_lm import BASE_SYMBOLS, build_tree, score_texts
 from tests.llm.cases import awkward_docs, empty_docs
@@ -61,3 +63,52 @@ def test_states_are_distributions_and_contexts_need_evidence():
 
 def test_empty_table(spark):
     assert score_texts(empty_docs(spark)).count() == 0
+
+
+def brute_scores(texts, least, depth, evidence=4.0, discount=0.75):
+    """Score of every text by a tree in dictionaries; texts are (tokens, held out)."""
+    c = Counter(t for own, out in texts if not out for t in own)
+    scale = sum(c.values()) + len(c) + 1
+    after = defaultdict(Counter)
+    for own, out in texts:
+        for i in range(0 if out else len(own)):
+            for length in range(1, min(depth, i) + 1):
+                after[tuple(own[i - length : i])][own[i]] += 1
+    kept = {}
+
+    def p(context, t):
+        while context and context not in kept:
+            context = context[1:]
+        if not context:
+            return (c[t] + 1) / scale
+        n = after[context]
+        total, free = sum(n.values()), discount * len(n)
+        return (n[t] - min(n[t], discount) + free * p(context[1:], t)) / total
+
+    for length in range(1, depth + 1):
+        for context, n in [x for x in after.items() if len(x[0]) == length]:
+            total = sum(n.values())
+            if total >= least:
+                g = 2 * sum(k * math.log(k / total / p(context[1:], t)) for t, k in n.items())
+                if g >= evidence * len(n):
+                    kept[context] = True
+    scores = [sum(math.log10(p(tuple(own[max(0, i - depth) : i]), t)) for i, t in enumerate(own)) for own, _ in texts]
+    return scores, Counter(map(len, kept))
+
+
+@pytest.mark.parametrize("hot", [1e-3, 0.05, 1.0])
+def test_rare_words_and_long_contexts_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr("formtide.llm.exchange.DOC_BUCKET", 20000)
+    monkeypatch.setattr("formtide.llm.exchange.KEY_BUCKET", 20000)
+    rng = random.Random(8)
+    phrases = [[f"w{rng.randint(0, 3000)}" for _ in range(4)] for _ in range(1500)]  # no word has a share of 0.1 %
+    rows = [(i, " ".join(w for _ in range(20) for w in [*rng.choice(phrases), "of"])) for i in range(300)]
+    rows += [(None, "of of " + rows[0][1]), (900, None), (901, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = [(tokens(t), held(i)) for i, t in rows]
+    expected, kept = brute_scores(texts, 3, 3)
+    assert kept[1] > 1000 and kept[3] > 100  # more than a thousand contexts
+    got = {r.doc_id: r for r in score_texts(docs, least_count=3, depth=3, hot=hot).collect()}
+    assert len(got) == len(rows)
+    for (i, _), score in zip(rows, expected):
+        assert got[i].score == pytest.approx(score, abs=1e-3, rel=1e-5)
