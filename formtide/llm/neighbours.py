@@ -32,6 +32,23 @@ def pivots_of(rows: DataFrame, id_column: str, vector: str, n: int) -> np.ndarra
     return np.array([r[0] for r in found], float)
 
 
+def spread_pivots(rows: DataFrame, id_column: str, vector: str, n: int, apart: float, sample: int = 16) -> np.ndarray:
+    """At most ``n`` unit vectors, each the farthest from those before in a bounded sample of ``sample * n``.
+
+    None has a cosine of ``apart`` or more with another, so a group of near copies supplies one pivot
+    however many of the rows it has.
+    """
+    x = pivots_of(rows, id_column, vector, sample * n)
+    if not len(x):
+        return x
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    taken, nearest = [0], x @ x[0]
+    while len(taken) < n and nearest.min() < apart:
+        taken.append(int(nearest.argmin()))
+        nearest = np.maximum(nearest, x @ x[taken[-1]])
+    return x[taken]
+
+
 def by_group(batches, columns: list[str]):
     """Arrow tables of equal keys from batches whose rows are sorted by them."""
     held: list[pa.RecordBatch] = []
@@ -58,8 +75,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, n_pivots: int =
     """``vec_id, n_links, component_id, kept`` for every row; vectors link inside their group only.
 
     A vector is described by its ``prefix`` nearest of ``n_pivots`` pivots. Each of them is an inverted
-    list (per group); two vectors that share at least ``shared`` pivots meet in the list of the first one
-    they share, and their cosine is then taken in double precision. Lists above ``limit`` rows are tiled.
+    list (per group); two vectors that share at least ``shared`` pivots or have the same nearest pivot meet
+    in the list of the first one they share, and their cosine is then taken in double precision. Lists above ``limit`` rows are tiled.
     Equal vectors enter once with their number. Rows with a null id or group, or with a vector that is
     null, zero or not finite, link with nothing; a null id has no component and is not kept.
     """
@@ -71,9 +88,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, n_pivots: int =
     distinct = materialise(
         valid.groupBy("g", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("times")), "vectors"
     )
-    pivots = pivots_of(distinct, "rep", "v", n_pivots)
-    if len(pivots):
-        pivots = pivots / np.linalg.norm(pivots, axis=1, keepdims=True)
+    pivots = spread_pivots(distinct, "rep", "v", n_pivots, threshold)
 
     def describe(batches):
         for batch in batches:
@@ -101,10 +116,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, n_pivots: int =
             x = matrix(table.column("v").combine_chunks())
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             own = np.zeros((len(rep), n_all), np.float32)
-            own[np.arange(len(rep))[:, None], matrix(table.column("pivots").combine_chunks(), np.int64)] = 1
+            nearest = matrix(table.column("pivots").combine_chunks(), np.int64)
+            own[np.arange(len(rep))[:, None], nearest] = 1
             common = own @ own.T
             first = own[:, :pivot] @ own[:, :pivot].T < 0.5  # no smaller pivot is shared
-            linked = (x @ x.T >= threshold) & (common >= need) & first
+            close = (common >= need) | (nearest[:, :1] == nearest[:, 0])
+            linked = (x @ x.T >= threshold) & close & first
             if i != j:
                 linked &= part[:, None] != part[None, :]
             np.fill_diagonal(linked, False)

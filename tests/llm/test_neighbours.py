@@ -98,3 +98,25 @@ def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 60), (61, 100), (7, 7)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(41)}, 100: 60, 60: 60, 61: 60}
+
+
+@pytest.mark.parametrize("share, cosine", [(0.34, 0.95), (0.5, 0.95), (0.5, 0.997), (1.0, 0.95)])
+def test_recall_with_one_large_group(spark, share, cosine):
+    rng = np.random.RandomState(6)
+    n, dim = 1500, 32
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[700:800] = x[600:700] + 0.15 * x[800:900]  # small groups
+    size = int(n * share)
+    noise = rng.normal(size=(size, dim)) / np.sqrt(dim)
+    center = rng.normal(size=dim)
+    x[:size] = center / np.linalg.norm(center) * np.sqrt(cosine) + noise * np.sqrt(1 - cosine)
+    rows = [(i, [float(c) for c in v], 1, 0, 0, 0, 0) for i, v in enumerate(x)]
+    vectors = spark.createDataFrame(rows, SCHEMA)
+    y = np.array([r.embedding for r in vectors.collect()], float)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    near = y @ y.T >= 0.93
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: r.n_links for r in near_duplicates(vectors).collect()}
+    assert all(got[i] <= k for i, k in enumerate(near.sum(1)))
+    assert sum(got.values()) >= 0.97 * near.sum()
