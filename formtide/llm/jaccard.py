@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formtide.llm.common import Hasher, blocks, materialise, mix, spans, text_bytes, words_of
+from formtide.llm.common import Hasher, blocks, mix, settled, spans, text_bytes, words_of
 from formtide.llm.graph import components, local_roots, tiled
 from formtide.llm.neighbours import by_group
 
@@ -49,8 +49,12 @@ def shingles(data: np.ndarray, offsets: np.ndarray, n: int, hasher: Hasher) -> t
 
 
 def runs_needed(threshold: float, breadth: float, depth: int, miss: float) -> int:
-    """Runs after which a pair of equal sizes at the threshold has not met with probability < ``miss``."""
-    shared = breadth * 2 * threshold / (1 + threshold)
+    """Runs after which a pair at the threshold has not met with probability < ``miss``, whatever its sizes.
+
+    Both sets follow a common shingle with chance ``breadth / larger size``, and at the threshold they share
+    at least ``threshold * larger size`` shingles: exactly that if the larger contains the smaller.
+    """
+    shared = breadth * threshold
     meet = 1.0
     for _ in range(depth):
         meet = 1 - math.exp(-shared * meet)
@@ -126,12 +130,12 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, brea
                     [block.column("doc_id"), *columns], ["doc_id", "set", "size", *fields]
                 )
 
-    walked = materialise(narrow.mapInArrow(walk, schema), "walks")
+    walked = settled(narrow.mapInArrow(walk, schema), "walks")
     able = walked.filter("doc_id IS NOT NULL AND size > 0")
     classes = able.groupBy("set").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("times"), *[F.first(f).alias(f) for f in fields]
     )
-    classes = materialise(classes, "classes")
+    classes = settled(classes, "classes")
 
     level = classes.select("set", F.explode("keys1").alias("key")).distinct()
     buckets = []
@@ -148,7 +152,7 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, brea
     members = buckets[0]
     for more in buckets[1:]:
         members = members.unionByName(more)
-    members = materialise(members, "members")
+    members = settled(members, "members")
     # of buckets with the same sets one is enough
     chosen = members.groupBy("n", "sig").agg(F.min("key").alias("key")).select("key")
     members = members.join(chosen, "key").select("key", "set")
@@ -199,7 +203,7 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, brea
                 [pa.array(a[some]) for a in (sets, links, roots)], ["set", "links", "root"]
             )
 
-    found = materialise(dealt.mapInArrow(verify, "set long, links long, root long"), "found")
+    found = settled(dealt.mapInArrow(verify, "set long, links long, root long"), "found")
     links = found.groupBy("set").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("set").alias("a"), F.col("root").alias("b")))
     joined = joined.withColumnRenamed("node", "set")

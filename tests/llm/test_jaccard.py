@@ -1,9 +1,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
-from formtide.llm.jaccard import runs_needed, similarity_classes
+from formtide.llm.common import mix
+from formtide.llm.jaccard import paths, runs_needed, similarity_classes
 from tests.llm.cases import awkward_docs, empty_docs
 
 
@@ -70,3 +72,18 @@ def test_awkward_rows(spark):
 def test_empty_table_and_runs(spark):
     assert similarity_classes(empty_docs(spark)).count() == 0
     assert runs_needed(0.8, 1.3, 1, 1e-3) < runs_needed(0.8, 1.3, 3, 1e-3) < 20
+
+
+def test_contained_pairs_meet_on_the_last_level():
+    """Pairs at the threshold of which one set contains the other, in nodes that are split to the end."""
+    n, large, small = 6000, 50, 40
+    missed = 0
+    for seed in range(4):
+        tokens = mix(np.arange(1, n * large + 1, dtype=np.uint64) + np.uint64(seed << 40)).reshape(n, large)
+        rows = np.repeat(np.arange(n), large)
+        runs = runs_needed(0.8, 1.3, 3, 1e-3)
+        whole = paths(rows, np.sort(tokens, axis=1).ravel(), n, runs, 3, 1.3)[2]
+        part = paths(np.repeat(np.arange(n), small), np.sort(tokens[:, :small], axis=1).ravel(), n, runs, 3, 1.3)[2]
+        both = set(zip(*(x.tolist() for x in whole))) & set(zip(*(x.tolist() for x in part)))
+        missed += n - len({r for r, _ in both})
+    assert missed <= 1.3e-3 * 4 * n
