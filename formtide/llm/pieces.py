@@ -1,14 +1,17 @@
-"""SentencePiece encoding and decoding by a batched Viterbi search (operator 1).
+"""SentencePiece encoding and decoding by a batched search (operator 1).
 
 A text is cut where no piece can reach across: between two characters that stand side by side in no
-piece. Distinct parts of equal length advance together: hashes of all their substrings probe the sorted
-hashes of the pieces, and a maximum over lengths at every end keeps the best score and a back pointer.
-The result is the segmentation of the highest total score, which is what the unigram encoder finds.
-Characters that no piece covers become byte pieces.
+piece. Distinct parts of equal length advance together: hashes of their substrings probe the sorted
+hashes of the pieces. Of a unigram model, a maximum over lengths at every end keeps the best score and a
+back pointer (Viterbi): the segmentation of the highest total score. Of a merge model, every step joins
+in each part the two neighbours whose piece has the highest score, the leftmost of equal ones, until no
+two make a piece. Either is the model's own segmentation; merges never cross a cut. Characters that no piece covers become byte pieces.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,12 +25,15 @@ SPACE = "▁"
 class Pieces:
     """Arrays of a vocabulary: texts, scores, ids of bytes, and what may be adjacent in a piece."""
 
-    def __init__(self, texts: list[str], scores: np.ndarray, ids: np.ndarray, byte_ids: np.ndarray, raw: list[bytes]):
+    def __init__(self, texts: list[str], scores: np.ndarray, ids: np.ndarray, byte_ids: np.ndarray, raw: list[bytes],
+                 merges: bool = False):
         self.texts, self.scores, self.ids, self.byte_ids, self.raw = texts, scores, ids, byte_ids, raw
+        self.merges = merges
 
     @classmethod
     def read(cls, path: str) -> Pieces:
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
@@ -39,7 +45,9 @@ class Pieces:
         for b, i in enumerate(byte_ids.tolist()):
             raw[i] = bytes([b])
         texts = [model.id_to_piece(i) for i in own]
-        return cls(texts, np.array([model.get_score(i) for i in own]), np.array(own), byte_ids, raw)
+        spec = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto()).trainer_spec
+        merges = spec.model_type == spec.BPE
+        return cls(texts, np.array([model.get_score(i) for i in own]), np.array(own), byte_ids, raw, merges)
 
 
 def points(text: str) -> np.ndarray:
@@ -124,6 +132,8 @@ class Encoder:
             rows = rows[begin > 0]
         return taken[used], used.sum(axis=1)
 
+    segment = viterbi
+
     def learn(self, hashes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, flat: np.ndarray, sums: np.ndarray):
         """Encode parts that are not known yet."""
         news, counts, order = [], [], []
@@ -132,7 +142,7 @@ class Encoder:
             step = max(1, (1 << 20) // (length * min(length, self.longest)))
             for i in range(0, len(own), step):
                 part = own[i : i + step]
-                ids, count = self.viterbi(flat, sums, starts[part], length)
+                ids, count = self.segment(flat, sums, starts[part], length)
                 news.append(ids)
                 counts.append(count)
                 order.append(part)
@@ -184,6 +194,87 @@ class Encoder:
         return ids, np.bincount(rows, count, len(texts)).astype(np.int64)
 
 
+class MergeEncoder(Encoder):
+    """Encodes by the merges of the pieces, in the order of their scores."""
+
+    def __init__(self, pieces: Pieces, most: int = 400_000, longest_batched: int = 256):
+        super().__init__(pieces, most)
+        self.longest_batched = longest_batched
+        self.by_text = {t: (-s, i) for t, s, i in zip(pieces.texts, pieces.scores.tolist(), pieces.ids.tolist())}
+
+    def look_up(self, sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score and id of the pieces between two places; no piece has the score of minus infinity."""
+        hashes = self.hash(sums, first, last)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        hit = self.hashes[at] == hashes
+        return np.where(hit, self.scores[at], -np.inf), np.where(hit, self.ids[at], -1)
+
+    def segment(self, flat: np.ndarray, sums: np.ndarray, starts: np.ndarray, length: int):
+        """Ids (or -1 - character) of parts of one length: flattened, and their number per part."""
+        if length > self.longest_batched:
+            found = [self.segment_long(flat[s : s + length]) for s in starts.tolist()]
+            return np.concatenate(found), np.array([len(f) for f in found])
+        m = len(starts)
+        places = starts[:, None] + np.arange(length)[None, :]
+        _, piece = self.look_up(sums, places, places + 1)
+        piece = np.where(piece < 0, -1 - flat[places].astype(np.int64), piece)
+        end = np.tile(np.arange(1, length + 1), (m, 1))  # of the symbol that begins here
+        before = end - 2  # where the symbol before it begins
+        used = np.ones((m, length), bool)
+        gain, joined = np.full((m, length), -np.inf), np.zeros((m, length), np.int64)
+        gain[:, :-1], joined[:, :-1] = self.look_up(sums, places[:, :-1], places[:, :-1] + 2)
+        rows = np.arange(m)
+        while len(rows):
+            left = gain[rows].argmax(axis=1)
+            able = gain[rows, left] > -np.inf
+            rows, left = rows[able], left[able]
+            right = end[rows, left]
+            stop = end[rows, right]
+            end[rows, left], piece[rows, left] = stop, joined[rows, left]
+            used[rows, right] = False
+            gain[rows, right] = gain[rows, left] = -np.inf
+            more = stop < length
+            r, a, b = rows[more], left[more], stop[more]
+            before[r, b] = a
+            gain[r, a], joined[r, a] = self.look_up(sums, starts[r] + a, starts[r] + end[r, b])
+            more = left > 0
+            r, b = rows[more], stop[more]
+            a = before[r, left[more]]
+            gain[r, a], joined[r, a] = self.look_up(sums, starts[r] + a, starts[r] + b)
+        return piece[used], used.sum(axis=1)
+
+    def segment_long(self, values: np.ndarray) -> np.ndarray:
+        """The same for one part, with a heap: its steps do not look at the whole part."""
+        text = values.astype(np.uint32).tobytes().decode("utf-32-le")
+        n = len(text)
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = []
+
+        def offer(a):
+            if a >= 0 and end[a] < n:
+                found = self.by_text.get(text[a : end[end[a]]]) if end[end[a]] - a <= self.longest else None
+                if found:
+                    heapq.heappush(heap, (found[0], a, end[a], end[end[a]]))
+
+        for a in range(n - 1):
+            offer(a)
+        while heap:
+            _, a, middle, stop = heapq.heappop(heap)
+            if end[a] != middle or end[middle] != stop:
+                continue  # one of the two was joined before
+            end[a], end[middle] = stop, -1
+            if stop < n:
+                before[stop] = a
+            offer(a)
+            offer(before[a])
+        out, a = [], 0
+        while a < n:
+            found = self.by_text.get(text[a : end[a]])
+            out.append(found[1] if found else -1 - ord(text[a]))
+            a = end[a]
+        return np.array(out, np.int64)
+
+
 class Decoder:
     """Bytes of ids; the space before a text goes."""
 
@@ -209,7 +300,7 @@ def encode_texts(docs: DataFrame, path: str, id_column: str = "doc_id", text_col
     pieces = Pieces.read(path)
 
     def run(batches):
-        encoder, decoder = Encoder(pieces), Decoder(pieces)
+        encoder, decoder = (MergeEncoder if pieces.merges else Encoder)(pieces), Decoder(pieces)
         for batch in batches:
             for block in blocks(batch):
                 texts = [t or "" for t in block.column("text").to_pylist()]

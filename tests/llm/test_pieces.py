@@ -2,7 +2,7 @@ import numpy as np
 import public_tokenizers
 import sentencepiece
 
-from formtide.llm.pieces import SPACE, Encoder, Pieces, decode_ids, encode_texts
+from formtide.llm.pieces import SPACE, Encoder, MergeEncoder, Pieces, decode_ids, encode_texts
 from tests.llm.cases import awkward_docs, empty_docs
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -52,3 +52,22 @@ def test_vocabulary_may_be_forgotten():
     small, large = Encoder(pieces, most=5), Encoder(pieces)
     for text in ("one two three four five six seven", "six seven eight nine ten eleven", "one two"):
         assert small.encode([text])[0].tolist() == large.encode([text])[0].tolist()
+
+
+def test_ids_of_a_merge_model_are_those_of_its_library(spark):
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").limit(300)
+    texts = [r.text or "" for r in awkward_docs(spark).collect()]
+    texts += ["Größe 漢字かな 🙂 x́", "  two  spaces ", "tab\tnew\nline", "a" * 5000, " " * 700, "<s> </s> <0x41>", "Our Elle"]
+    extra = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs = docs.unionByName(extra)
+    expected = {r.doc_id: model.encode(r.text or "") for r in docs.collect()}
+    got = {r.doc_id: r.ids for r in encode_texts(docs, PATH).collect()}
+    assert got == expected
+
+
+def test_long_and_short_parts_are_cut_alike():
+    pieces = Pieces.read(PATH)
+    batched, heap = MergeEncoder(pieces), MergeEncoder(pieces, longest_batched=0)
+    texts = ["Our tokenization of unbelievable aaaaaaaaaaa", "größte Übung 漢字 🙂🙂", "x" * 100]
+    assert batched.encode(texts)[0].tolist() == heap.encode(texts)[0].tolist()
