@@ -178,7 +178,8 @@ def general_fix(t):
     damaged = F.replace(damaged, F.lit("é"), F.lit("&eacute;"))
     damaged = F.replace(damaged, F.lit("ü"), F.lit("&#252;"))
     tail = F.lit(" “ﬃ” \uff21\uff22\uff23\u2028\u001b[31m\u0007x")
-    return t.spread("documents").select("doc_id", text.fix_text(F.concat(damaged, tail)).alias("text"))
+    documents = t.spread("documents").select("doc_id", F.concat(damaged, tail).alias("text"))
+    return text.fix_texts(documents, ["text"])
 
 
 @query(

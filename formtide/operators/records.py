@@ -31,6 +31,8 @@ DEEP_LEAF = T.StructType(
 )
 
 
+LEAVES = "array<struct<path: string, level: int, value: string, rest: variant>>"
+
 JSON_KEY = r'"(?:[^"\\]++|\\.)*+":'
 # A non-empty list; an object has no first position.
 IS_FILLED_LIST = "try_variant_get(_node, '$[0]', 'variant') IS NOT NULL"
@@ -76,8 +78,8 @@ def kind_of(node: Column) -> Column:
     )
 
 
-def _deep_leaves(sep: str, lists: bool):
-    """Arrow UDF: leaves of record parts that lie deeper than the generators reach.
+def _deep_walk(sep: str, lists: bool):
+    """Walk over record parts ``(path, node)`` that lie deeper than the native levels.
 
     It only walks. A leaf is handed back as JSON that parses to the very value it was, so kind
     and text of a deep leaf come from the same expressions as those of any other.
@@ -101,8 +103,8 @@ def _deep_leaves(sep: str, lists: bool):
             return text if "e" in text else f"{text}e0"
         return json.dumps(value, default=str)
 
-    def unfold_part(part):
-        leaves, pending = [], [("", part.toPython(), first_level)]
+    def unfold_parts(parts):
+        leaves, pending = [], [(path, node, first_level) for path, node in parts]
         while pending:
             path, node, level = pending.pop()
             in_list = isinstance(node, list)
@@ -114,10 +116,17 @@ def _deep_leaves(sep: str, lists: bool):
                     leaves.append((here, as_json(child), level, in_list))
         return leaves
 
+    return unfold_parts
+
+
+def _deep_leaves(sep: str, lists: bool):
+    """Arrow UDF: leaves of one record part that lies deeper than the generators reach."""
+    unfold_parts = _deep_walk(sep, lists)
+
     @F.pandas_udf(T.ArrayType(DEEP_LEAF))
     def unfold(parts: pd.Series) -> pd.Series:
         sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
-        return parts.map(unfold_part, na_action="ignore")
+        return parts.map(lambda part: unfold_parts([("", part.toPython())]), na_action="ignore")
 
     return unfold
 
@@ -199,6 +208,178 @@ def flatten_json(
     return leaves.filter(path != "")
 
 
+def _deep_fields(sep: str, lists: bool):
+    """Arrow UDF: all leaves of the parts of a record that lie below the native levels.
+
+    Takes the parts as one list and the path of each; a leaf comes back as by ``_deep_leaves``.
+    """
+    unfold_parts = _deep_walk(sep, lists)
+
+    @F.pandas_udf(T.ArrayType(DEEP_LEAF))
+    def unfold(parts: pd.Series, paths: pd.Series) -> pd.Series:
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
+        return pd.Series(
+            [
+                None if nodes is None else unfold_parts(list(zip(names, nodes.toPython())))
+                for nodes, names in zip(parts, paths)
+            ],
+            dtype=object,
+        )
+
+    return unfold
+
+
+def unfold_fields(
+    df: DataFrame,
+    source: str,
+    fields: str = "fields",
+    sep: str = "_",
+    depth: int | None = None,
+    explode_arrays: bool = True,
+) -> DataFrame:
+    """All leaves of a JSON column as one ``map<string,string>`` per row.
+
+    The same leaves as ``flatten_json`` gives, but unfolded level by level inside the row: nothing is
+    exploded, so there is nothing to gather and no shuffle, and a record needs no key. Every level
+    opens only the containers that the one before has found. If a path occurs twice in a record, the
+    value nearest the root wins. Rows without a leaf are left out.
+
+    ``depth`` as for ``flatten_json``.
+    """
+    levels = NATIVE_LEVELS if depth is None else depth
+    keep = [quoted(name) for name in df.columns if name != source]
+
+    def steps(node: Column, level: int) -> Column:
+        """Members of an object or elements of a list as key and value; null for anything else.
+
+        A list at the root has no name before its positions, but the separator.
+        """
+        members = F.map_entries(F.try_variant_get(node, "$", "map<string,variant>"))
+        if not explode_arrays:
+            return members
+        elements = F.transform(
+            F.try_variant_get(node, "$", "array<variant>"),
+            lambda child, place: F.struct(
+                (place.cast("string") if level else F.concat(F.lit(sep), place)).alias("key"),
+                child.alias("value"),
+            ),
+        )
+        return F.coalesce(members, elements)
+
+    def leaf(node: Column, path: Column, level: int) -> Column:
+        text = scalar_text(node)
+        if not explode_arrays:
+            is_list = F.schema_of_variant(node).startswith("ARRAY")
+            text = F.when(is_list, F.to_json(node)).otherwise(text)
+        return F.struct(
+            path.alias("path"), F.lit(level).alias("level"), text.alias("value"),
+            F.lit(None).cast("variant").alias("rest"),
+        )
+
+    def unfold(node: Column, path: Column, level: int) -> Column:
+        """All leaves below a node; what is no container is one leaf."""
+        if level == levels:
+            return at_end(node, path, level)
+        prefix = F.concat(path, F.lit(sep)) if level else F.lit("")
+
+        def child(step: Column) -> Column:
+            return unfold(step["value"], F.concat(prefix, step["key"]), level + 1)
+
+        below = F.flatten(F.transform(steps(node, level), child))
+        own = F.array(leaf(node, path, level)) if level else F.array().cast(LEAVES)
+        return F.coalesce(below, own)
+
+    def at_end(node: Column, path: Column, level: int) -> Column:
+        """A leaf, or a container for which there is no level left."""
+        inner = steps(node, level)
+        if depth is None:
+            rest = F.array(
+                F.struct(
+                    path.alias("path"), F.lit(level).alias("level"),
+                    F.lit(None).cast("string").alias("value"), node.alias("rest"),
+                )
+            )
+        else:
+            message = F.concat(F.lit(f"record deeper than the declared {depth} levels at "), path)
+            rest = F.raise_error(message).cast(LEAVES)
+        return (
+            F.when(F.size(inner) > 0, rest)
+            .when(inner.isNotNull(), F.array().cast(LEAVES))
+            .otherwise(F.array(leaf(node, path, level)))
+        )
+
+    current = df.select(*keep, _as_variant(df, source).alias("_record"))
+    # no generator and no projection between the levels, so nothing is copied from one to the next
+    current = current.select(*keep, unfold(F.col("_record"), F.lit(""), 0).alias("_entries"))
+    if depth is None:
+        rest = F.filter("_entries", lambda e: e["rest"].isNotNull())
+        some = F.exists("_entries", lambda e: e["rest"].isNotNull())
+        parts = F.to_variant_object(F.transform(rest, lambda e: e["rest"]))
+        paths = F.transform(rest, lambda e: e["path"])
+        below = _deep_fields(sep, explode_arrays)(F.when(some, parts), F.when(some, paths))
+        current = current.select(*keep, "_entries", below.alias("_below"))
+        deep = F.transform(
+            F.col("_below"), lambda e: deep_leaf(F.try_parse_json(e["json"]), e["path"], e["level"])
+        )
+        native = F.filter("_entries", lambda e: e["rest"].isNull())
+        whole = F.concat(native, F.coalesce(deep, F.array().cast(LEAVES)))
+        current = current.select(*keep, whole.alias("_entries"))
+    return _as_fields(current, keep, fields)
+
+
+def deep_leaf(node: Column, path: Column, level: Column) -> Column:
+    is_list = F.schema_of_variant(node).startswith("ARRAY")
+    text = F.when(is_list, F.to_json(node)).otherwise(scalar_text(node))
+    return F.struct(
+        path.alias("path"), level.alias("level"), text.alias("value"),
+        F.lit(None).cast("variant").alias("rest"),
+    )
+
+
+def _as_fields(records: DataFrame, keep: list[str], fields: str) -> DataFrame:
+    """``_entries`` (path, level, value) as a map; of equal paths the one nearest the root stays."""
+    entries = F.col("_entries")
+
+    def as_map(found: Column) -> Column:
+        return F.map_from_entries(F.transform(found, lambda e: F.struct(e["path"], e["value"])))
+
+    ordered = F.array_sort(
+        F.transform(entries, lambda e: F.struct(e["path"], e["level"], e["value"]))
+    )
+    # the first of a path is the one that no entry before it shares; only records with a collision pay
+    first_of_path = F.aggregate(
+        ordered,
+        F.array().cast("array<struct<path: string, level: int, value: string>>"),
+        lambda done, e: F.when(
+            F.try_element_at(done, F.lit(-1))["path"] == e["path"], done
+        ).otherwise(F.array_append(done, e)),
+    )
+    paths = F.transform(entries, lambda e: e["path"])
+    distinct = F.size(F.array_distinct(paths)) == F.size(entries)
+    whole = F.when(distinct, as_map(entries)).otherwise(as_map(first_of_path))
+    # a generator drops rows without a leaf; a filter would be pushed down and unfold them twice
+    some = F.when(F.size(entries) > 0, F.array(whole))
+    return records.select(*keep, F.explode(some).alias(fields))
+
+
+def normalize_fields(
+    df: DataFrame, source: str, fields: str = "fields", depth: int | None = None
+) -> DataFrame:
+    """The leaves of ``normalize_json`` as one map per row; row-local."""
+    keep = [quoted(name) for name in df.columns if name != source]
+    dotted = unfold_fields(df, source, "_dotted", ".", depth, explode_arrays=False)
+    entries = F.transform(
+        F.map_entries("_dotted"),
+        lambda e: F.struct(
+            F.replace(e["key"], F.lit("."), F.lit("_")).alias("path"),
+            # levels are counted by the dots, which only collisions ask for
+            F.length(F.regexp_replace(e["key"], "[^.]", "")).alias("level"),
+            e["value"].alias("value"),
+        ),
+    )
+    return _as_fields(dotted.select(*keep, entries.alias("_entries")), keep, fields)
+
+
 def flatten_records(
     df: DataFrame, source: str, sep: str = ".", parent: str = "", depth: int | None = None
 ) -> DataFrame:

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from formtide.functions.columns import as_column
 from formtide.functions.fixed_values import FORMS
 from formtide.functions.paths import layer_path
-from formtide.functions.text import repair_fields
+from formtide.functions.text import fix_texts
 from formtide.operators.profile import counted
 from formtide.operators.project import with_processing_time
-from formtide.operators.records import normalize_json, sorted_keys, top_level_fields
-from formtide.operators.reshape import fields_to_columns, gather_fields
+from formtide.operators.records import normalize_fields, sorted_keys, top_level_fields
+from formtide.operators.reshape import fields_to_columns
 from formtide.plans.report import Skipped, run_each
 from formtide.sources.pipe_csv import write_pipe_csv
 from formtide.sources.submissions import read_submissions
@@ -27,9 +27,7 @@ def bronze_fields(records: DataFrame, flat: bool = True, depth: int | None = Non
     """
     if flat:
         return records.select(top_level_fields(F.col("record")).alias("fields"))
-    numbered = records.select("record", F.monotonically_increasing_id().alias("_record"))
-    leaves = normalize_json(numbered, "record", depth=depth)
-    return gather_fields(leaves, ["_record"]).select("fields")
+    return normalize_fields(records.select("record"), "record", depth=depth)
 
 
 def bronze_table(
@@ -40,14 +38,14 @@ def bronze_table(
 ) -> DataFrame:
     """Maps of fields to columns: union of keys, text repaired, processing time added."""
     keys = sorted_keys(fields, "fields") if keys is None else keys
-    repaired = repair_fields(fields.select("fields"), compose=compose)
-    cells = fields_to_columns(repaired, "fields", keys)
+    cells = fields_to_columns(fields.select("fields"), "fields", keys)
     by_name: dict[str, list[str]] = {}
     for key in keys:
         by_name.setdefault(key.replace(".", "_"), []).append(key)
     table = cells.select(
         *[F.coalesce(*map(as_column, same)).alias(name) for name, same in by_name.items()]
     )
+    table = fix_texts(table, table.columns, compose=compose, replacements=True)
     return with_processing_time(table, moment)
 
 

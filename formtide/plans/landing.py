@@ -10,8 +10,7 @@ from formtide.functions.paths import layer_path
 from formtide.functions.text import repair_fields
 from formtide.operators.profile import counted
 from formtide.operators.project import on_or_after
-from formtide.operators.records import flatten_json, kind_of
-from formtide.operators.reshape import gather_fields
+from formtide.operators.records import kind_of, unfold_fields
 from formtide.plans.report import Skipped, run_each
 from formtide.sources.submissions import unpack_pages
 
@@ -25,13 +24,8 @@ def submission_date(submission: Column) -> Column:
 def landing_fields(
     submissions: DataFrame, depth: int | None = None, repair: bool = True
 ) -> DataFrame:
-    """Submissions ``form, element`` to ``form, fields``: one map of flat paths per record."""
-    numbered = submissions.select(
-        "form", "element", F.monotonically_increasing_id().alias("_record")
-    )
-    leaves = flatten_json(numbered, "element", depth=depth)
-    records = gather_fields(leaves, ["form", "_record"])
-    records = records.select("form", "fields")
+    """Submissions ``form, element`` to ``form, fields``: one map of flat paths per record; row-local."""
+    records = unfold_fields(submissions.select("form", "element"), "element", depth=depth)
     return repair_fields(records) if repair else records
 
 

@@ -32,10 +32,13 @@ class MissingColumns(Exception):
     """A bronze table lacks columns its form requires."""
 
 
-def silver_table(bronze: DataFrame, spec: FormSpec, repair: bool = True) -> DataFrame:
+def silver_table(
+    bronze: DataFrame, spec: FormSpec, repair: bool = True, columns: list[str] | None = None
+) -> DataFrame:
     """One form's silver table: mapped columns that exist, in map order, cast (F1–F8).
 
-    Text cells are repaired once more and become null when they stand for a missing value.
+    Text cells are repaired once more and become null when they stand for a missing value. A reader of
+    a few silver columns names them in ``columns``; then the others are neither read nor repaired.
     """
     present = set(bronze.columns)
     missing = [
@@ -46,21 +49,27 @@ def silver_table(bronze: DataFrame, spec: FormSpec, repair: bool = True) -> Data
     if missing:
         raise MissingColumns(f"{spec.name}: {', '.join(missing)}")
 
-    entries = [entry for entry in spec.columns if entry[0] in present]
-    # text columns go through repair as one array, so the plan holds its expressions once
-    textual = [source for source, _, cast in entries if cast in TEXTUAL]
-    others = [source for source, _, cast in entries if cast not in TEXTUAL]
-    texts = F.array(*[text.missing_to_null(as_column(source).cast("string")) for source in textual])
-    packed = bronze.select(*map(as_column, others), texts.alias("_texts"))
+    entries = [
+        entry
+        for entry in spec.columns
+        if entry[0] in present and (columns is None or entry[1] in columns)
+    ]
+    textual = list(dict.fromkeys(source for source, _, cast in entries if cast in TEXTUAL))
+    others = list(dict.fromkeys(source for source, _, cast in entries if cast not in TEXTUAL))
+    text_of = {source: f"_text{place}" for place, source in enumerate(textual)}
+    texts = [
+        text.missing_to_null(as_column(source).cast("string")).alias(name)
+        for source, name in text_of.items()
+    ]
+    cells = bronze.select(*map(as_column, others), *texts)
     if repair:
-        fixed = F.transform("_texts", lambda value: text.fix_text_native(value, decode_first=True))
-        packed = packed.withColumn("_texts", fixed)
+        cells = text.fix_texts(cells, list(text_of.values()), decode_first=True)
 
     def cell(source: str, target: str, cast: str) -> Column:
-        value = F.col("_texts")[textual.index(source)] if cast in TEXTUAL else as_column(source)
+        value = F.col(text_of[source]) if cast in TEXTUAL else as_column(source)
         return CASTS[cast](value).alias(target)
 
-    return packed.select(*[cell(*entry) for entry in entries])
+    return cells.select(*[cell(*entry) for entry in entries])
 
 
 def route_table(bronze: DataFrame, name: str) -> DataFrame | None:

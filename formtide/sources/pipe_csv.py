@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from formtide.functions.columns import quoted
 from formtide.functions.text import (
-    fix_text,
+    fix_texts,
     missing_to_null,
     windows_1252_text,
 )
@@ -34,10 +34,10 @@ def read_pipe_csv(
 
     def cell(name: str):
         text = F.col(quoted(name))
-        text = missing_to_null(windows_1252_text(text) if latin else text)
-        return (fix_text(text, decode_first=True) if repair else text).alias(name)
+        return missing_to_null(windows_1252_text(text) if latin else text).alias(name)
 
-    return table.select(*[cell(name) for name in table.columns])
+    cells = table.select(*[cell(name) for name in table.columns])
+    return fix_texts(cells, cells.columns, decode_first=True) if repair else cells
 
 
 def write_pipe_csv(df: DataFrame, path: str, quoting: bool = True) -> None:

@@ -128,22 +128,58 @@ def test_replacement_table(spark):
     assert apply(spark, values, text.apply_replacements) == [v and expected(v) for v in values]
 
 
+FIX_CASES = {
+    "a&amp;b &eacute; &#233; &#x41; &zzz;": "a&b é é A &zzz;",
+    "<b>&amp;</b>": "<b>&amp;</b>",
+    "\u001b[31mred\u001b[0m": "red",
+    "ﬁm “x” l’a": "fim \"x\" l'a",
+    "a\r\nb\rc\u2028d": "a\nb\nc\nd",
+    "cafe\u0301": "café",
+    "ＡＢＣ": "ABC",
+    "bell\u0007": "bell",
+    "nÃ£o": "não",
+    "â€œoiâ€\u009d": '"oi"',
+    "\u0085\u0096": "\n–",
+    "ação já": "ação já",
+}
+
+
 def test_fix_text_steps(spark):
-    cases = {
-        "a&amp;b &eacute; &#233; &#x41; &zzz;": "a&b é é A &zzz;",
-        "<b>&amp;</b>": "<b>&amp;</b>",
-        "\u001b[31mred\u001b[0m": "red",
-        "ﬁm “x” l’a": "fim \"x\" l'a",
-        "a\r\nb\rc\u2028d": "a\nb\nc\nd",
-        "cafe\u0301": "café",
-        "ＡＢＣ": "ABC",
-        "bell\u0007": "bell",
-        "nÃ£o": "não",
-        "â€œoiâ€\u009d": '"oi"',
-        "\u0085\u0096": "\n–",
-        "ação já": "ação já",
-    }
-    assert apply(spark, list(cases), text.fix_text) == list(cases.values())
+    assert apply(spark, list(FIX_CASES), text.fix_text) == list(FIX_CASES.values())
+
+
+def fixed(spark, values, **options):
+    df = spark.createDataFrame([(i, v, "ﬁ", v) for i, v in enumerate(values)], "i int, `a b` string, _fixed string, other string")
+    rows = text.fix_texts(df, ["a b", "_fixed"], **options).orderBy("i").collect()
+    assert [r.other for r in rows] == values and {r._fixed for r in rows} == {"fi"}
+    return [r["a b"] for r in rows]
+
+
+AWKWARD = [
+    None, "", "nÃ£o &amp; cafe\u0301", "Ãƒ£", "&#55296; &#1114112; &#x10FFFF; &#0;", "a & b &amp <i>", "it's \\ 'x' ",
+    "\u001b[3ﬁx \u001b[1;31mred", "e\u0301\u0327 가 \u212b", "ǆﬀ \u0149", "\r\u0007\n\r\n\u0085", "N√£o £ Nã£o Atende",
+]
+
+
+@pytest.mark.parametrize("first", [False, True])
+def test_tables_are_fixed_as_single_texts(spark, first):
+    values = [*FIX_CASES, *FIX_CASES.values(), *MOJIBAKE, *AWKWARD]
+    expected = apply(spark, values, lambda x: text.fix_text(x, decode_first=first))
+    assert fixed(spark, values, decode_first=first) == expected
+    replaced = apply(spark, expected, text.apply_replacements)
+    assert fixed(spark, values, decode_first=first, replacements=True) == replaced
+    maps = spark.createDataFrame([(i, {"k": v, "n": None}) for i, v in enumerate(values)], "i int, fields map<string,string>")
+    rows = text.repair_fields(maps).orderBy("i").collect()
+    if not first:
+        assert [r.fields for r in rows] == [{"k": v, "n": None} for v in replaced]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(st.characters(min_codepoint=0x41, max_codepoint=0xFFF, exclude_categories=["Cs", "Cn"])), min_size=20, max_size=60))
+def test_composition_follows_unicode(spark, values):
+    values = values + [unicodedata.normalize("NFD", v) for v in values]
+    assert apply(spark, values, text.compose_characters) == [unicodedata.normalize("NFC", v) for v in values]
+
 
 
 def test_entities_follow_the_html_table(spark):

@@ -165,6 +165,23 @@ def test_silver_reads_no_other_columns_and_does_not_shuffle(spark, tmp_path):
     plan = silver.silver_table(spark.read.parquet(f"{tmp_path}/t"), FORM_SPECS["ilum"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and "Python" not in text and "unlisted_column" not in text
+    one = silver.silver_table(spark.read.parquet(f"{tmp_path}/t"), FORM_SPECS["ilum"], columns=["observacao"])
+    text = one._jdf.queryExecution().executedPlan().toString()
+    assert one.columns == ["observacao"] and "ReadSchema: struct<data_observacao:string>" in text
+
+
+def test_landing_does_not_shuffle(spark):
+    elements = spark.createDataFrame([("a", '{"a":{"b":[1,{"c":2}]}}'), ("a", "5"), ("b", None)], "form string, element string")
+    fields = landing.landing_fields(elements)
+    assert rows(fields.select("form", F.to_json("fields"))) == [("a", '{"a_b_0":"1","a_b_1_c":"2"}')]
+    assert "Exchange" not in fields._jdf.queryExecution().executedPlan().toString()
+
+
+def test_silver_composes_characters(spark):
+    table = spark.sql("SELECT 'x' AS id, 'cafe\u0301 N√£o' AS data_observacao")
+    table = table.withColumn("info_date", F.lit(str(DAY))).withColumn("meta_registrationDate", F.lit(str(DAY)))
+    found = silver.silver_table(table, FORM_SPECS["ilum"], columns=["observacao"]).first()[0]
+    assert found.startswith("café")
 
 
 def test_empty_runs_keep_the_layers(spark, tmp_path):

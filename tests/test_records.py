@@ -189,3 +189,30 @@ def test_flattening_is_one_pass_without_shuffle(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and "Join" not in text and "Union" not in text and "Python" not in text
     assert text.count("Generate variant_explode") == 4
+
+
+@pytest.mark.parametrize("depth", [None, 14])
+@pytest.mark.parametrize("lists", [True, False])
+def test_unfolded_fields_are_the_gathered_leaves(spark, depth, lists):
+    deep = '{"k":' * 11 + '{"x":[1,2.0,{"y":null}],"e":{}}' + "}" * 11
+    documents = [
+        '{"a":{"b":1},"a_b":2,"c":[1,[2,{"d":"x"}],{}],"e":{},"f":[],"g":null,"h":true,"i":2.0,"j":1e30}',
+        deep, "5", "[]", "{}", "null", "broken", None, '[{"a":1},"t"]', '{"a":"{\\"b\\":1}","é":"ü"}',
+        '{"x":12345678901234567890123,"y":1.50,"z":-0.0}', '{"a":{"b":{"c":1}},"a_b":{"c":2},"a_b_c":3}',
+    ]
+    df = frame(spark, documents)
+    if lists:
+        gathered = reshape.gather_fields(records.flatten_json(df, "doc", depth=depth), ["id"])
+        unfolded = records.unfold_fields(df, "doc", depth=depth)
+    else:
+        gathered = reshape.gather_fields(records.normalize_json(df, "doc", depth=depth), ["id"])
+        unfolded = records.normalize_fields(df, "doc", depth=depth)
+    one, other = ({r.id: r.fields for r in d.collect()} for d in (gathered, unfolded))
+    assert one == other and len(one) == (7 if lists else 5)
+
+
+def test_unfolding_stops_at_a_record_deeper_than_declared(spark):
+    df = frame(spark, ['{"a":{"b":{"c":{}}}}', '{"a":1}'])
+    assert records.unfold_fields(df, "doc", depth=3).count() == 1
+    with pytest.raises(Exception, match="deeper than the declared 1 levels at a"):
+        records.unfold_fields(df, "doc", depth=1).collect()
