@@ -208,7 +208,7 @@ def test_unfolded_fields_are_the_gathered_leaves(spark, depth, lists):
         gathered = reshape.gather_fields(records.normalize_json(df, "doc", depth=depth), ["id"])
         unfolded = records.normalize_fields(df, "doc", depth=depth)
     one, other = ({r.id: r.fields for r in d.collect()} for d in (gathered, unfolded))
-    assert one == other and len(one) == (7 if lists else 5)
+    assert one == other and len(one) == (6 if lists else 5)
 
 
 def test_unfolding_stops_at_a_record_deeper_than_declared(spark):
