@@ -11,11 +11,15 @@ their bins to the brim, the others leave at most a share of smallest/capacity fr
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,13 +38,6 @@ GROUP = 16
 DOUBLE_SPACE = re.compile(r"\s\s")
 
 
-def chunks(text: str) -> list[str]:
-    """A text cut at the spaces between two non-spaces, without those spaces."""
-    if text[0].isspace() or text[-1].isspace() or DOUBLE_SPACE.search(text):
-        return BORDER.split(text)
-    return text.split(" ")
-
-
 class Codes(dict):
     """Numbers its keys in the order in which they are first asked for."""
 
@@ -54,16 +51,16 @@ class ChunkEncoder:
 
     Texts are cut where a token border is certain, and the distinct chunks of a block go through the
     tokenizer as one text; the bytes that each id stands for tell where a chunk ends. Chunks are kept
-    up to ``most`` of them; then the worker begins anew.
+    up to ``most`` of them or ``most_bytes`` characters; then the worker begins anew.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 500_000, most_bytes: int = 32 << 20):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer, self.most, self.most_bytes = Tokenizer.from_file(path), most, most_bytes
         vocabulary = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
@@ -73,13 +70,14 @@ class ChunkEncoder:
         self.reset()
 
     def reset(self) -> None:
-        self.known = Codes()
+        self.known, self.held = Codes(), 0
         self.counts, self.begin = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
     def learn(self) -> None:
         """Encode the chunks that were numbered since the last call; all begin with a space."""
         news = list(self.known)[len(self.counts) :]
+        self.held += sum(map(len, news))
         counts, pieces, order, alone = np.zeros(len(news), np.int64), [], [], []
         for i in range(0, len(news), 512):
             own = np.arange(i, min(i + 512, len(news)))
@@ -111,23 +109,20 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text."""
-        if len(self.known) > self.most:
+        if len(self.known) > self.most or self.held > self.most_bytes:
             self.reset()
-        codes: list[int] = []
-        firsts: list[str] = []
-        number = self.known.__getitem__
-        sizes = np.zeros(len(texts), np.int64)
-        for row, text in enumerate(texts):
-            if text:
-                first, *rest = chunks(text)
-                firsts.append(first)
-                codes.append(-len(firsts))
-                codes.extend(map(number, rest))
-                sizes[row] = 1 + len(rest)
-        if not codes:
+        words, sizes, rows = split_texts(texts)
+        if not len(words):
             return np.zeros(0, np.uint32), sizes
+        # Arrow finds the distinct chunks; only these are looked up one by one
+        cells = words.dictionary_encode()
+        distinct = cells.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        codes = numbers[cells.indices.to_numpy()]
         self.learn()
         # a text's first chunk has no space before it: it is encoded for itself
+        places = np.cumsum(sizes[rows]) - sizes[rows]
+        firsts = words.take(pa.array(places)).to_pylist()
         own = [
             np.array(found.ids, np.uint32)
             for found in self.tokenizer.encode_batch(firsts, add_special_tokens=False)
@@ -136,24 +131,31 @@ class ChunkEncoder:
         ids = np.concatenate([self.ids, *own])
         begin = np.append(self.begin, len(self.ids) + np.cumsum(own_counts) - own_counts)
         counts = np.append(self.counts, own_counts)
-        codes = np.array(codes)
-        codes = np.where(codes < 0, len(self.counts) - 1 - codes, codes)
-        ids = ids[np.repeat(begin[codes], counts[codes]) + spans(counts[codes])]
-        chunk_ends = np.concatenate(([0], np.cumsum(counts[codes])))
-        text_ends = np.concatenate(([0], np.cumsum(sizes)))
-        return ids, np.diff(chunk_ends[text_ends])
-
-
-def cut(total: int, capacity: int, smallest: int) -> list[int]:
-    """Lengths of the pieces of a document."""
-    out = [capacity] * (total // capacity)
-    rest, size = total % capacity, capacity // 2
-    while size >= smallest:
-        if rest >= size:
-            out.append(size)
-            rest -= size
-        size //= 2
-    return out + [rest] * (rest > 0)
+        codes[places] = len(self.counts) + np.arange(len(places))
+        lengths = counts[codes]
+        ids = ids[np.repeat(begin[codes], lengths) + spans(lengths)]
+        found = np.zeros(len(texts), np.int64)
+        found[rows] = np.add.reduceat(lengths, places)
+        # texts of both kinds back in their order
+        at = np.zeros(len(texts), np.int64)
+        at[rows] = np.cumsum(found[rows]) - found[rows]
+        return ids[np.repeat(at, found) + spans(found)], found
+
+
+def split_texts(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Chunks of all texts that are not empty, one after another; number of chunks per text; the texts in
+    the order of their chunks: first those that are cut at every space, then the others."""
+    plain, other = [], []
+    for row, text in enumerate(texts):
+        if text:
+            uneven = text[0].isspace() or text[-1].isspace() or DOUBLE_SPACE.search(text)
+            (other if uneven else plain).append(row)
+    lists = [pc.split_pattern(pa.array([texts[r] for r in plain], pa.string()), " ")]
+    lists.append(pa.array([BORDER.split(texts[r]) for r in other], pa.list_(pa.string())))
+    rows = np.array(plain + other, np.int64)
+    sizes = np.zeros(len(texts), np.int64)
+    sizes[rows] = np.concatenate([np.asarray(pc.list_value_length(x), np.int64) for x in lists])
+    return pa.concat_arrays([x.flatten() for x in lists]), sizes, rows
 
 
 def slices(text: str, size: int):
@@ -168,48 +170,87 @@ def slices(text: str, size: int):
     yield text[start:]
 
 
+PIECE = np.dtype([(n, np.int64) for n in ("doc", "start", "length", "crc", "total")])
+
+
+def cut_all(totals: np.ndarray, capacity: int, smallest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, start and length of the pieces of all documents: whole capacities, then falling powers of
+    two down to ``smallest``, then what remains."""
+    whole, rest = np.divmod(totals, capacity)
+    rows, starts, lengths = [np.repeat(np.arange(len(totals)), whole)], [spans(whole) * capacity], [np.full(whole.sum(), capacity)]
+    start, size = whole * capacity, capacity // 2
+    while size >= smallest:
+        has = np.flatnonzero(rest >= size)
+        rows, starts, lengths = [*rows, has], [*starts, start[has]], [*lengths, np.full(len(has), size)]
+        start[has] += size
+        rest[has] -= size
+        size //= 2
+    has = np.flatnonzero(rest)
+    rows, starts, lengths = (np.concatenate(x) for x in ([*rows, has], [*starts, start[has]], [*lengths, rest[has]]))
+    order = np.lexsort((starts, rows))
+    return rows[order], starts[order], lengths[order]
+
+
 class Bins:
-    """Bins of one worker: each class counts its pieces and opens a bin per k of them."""
+    """Bins of one worker. A class is dealt by counting: its pieces ``k*i`` to ``k*i + k - 1`` are a bin."""
 
     def __init__(self, capacity: int, worker: int):
-        self.capacity, self.next_bin = capacity, worker << 32
-        self.open: dict[int, list] = {}
-
-    def add(self, piece: list, done: list) -> None:
-        k = self.capacity // piece[2]
-        bin_ = self.open.setdefault(k, [])
-        bin_.append(piece)
-        if len(bin_) == k:
-            self.close(bin_, done)
-            bin_.clear()
-
-    def close(self, pieces: list, done: list) -> None:
-        at = 0
-        for piece in pieces:
-            done.append([*piece, self.capacity // piece[2], self.next_bin, at])
-            at += piece[2]
-        self.next_bin += 1
-
-    def close_rest(self, done: list) -> None:
+        self.capacity, self.next_bin, self.left = capacity, worker << 32, np.zeros(0, PIECE)
+
+    def add(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces of the bins that are full now, with class, bin and offset; the others wait."""
+        pieces = np.concatenate([self.left, pieces])
+        kind = self.capacity // pieces["length"]
+        order = np.argsort(kind, kind="stable")
+        pieces, kind = pieces[order], kind[order]
+        classes, first, counts = np.unique(kind, return_index=True, return_counts=True)
+        number = np.arange(len(kind)) - np.repeat(first, counts)
+        full = counts // classes
+        inside = number < np.repeat(full * classes, counts)
+        bins = np.repeat(np.cumsum(full) - full, counts) + number // kind
+        self.left = pieces[~inside]
+        pieces, kind, bins, number = (x[inside] for x in (pieces, kind, bins, number % kind))
+        ends = np.cumsum(pieces["length"])
+        begin = (ends - pieces["length"])[number == 0]
+        offset = ends - pieces["length"] - np.repeat(begin, kind[number == 0])
+        bins += self.next_bin
+        self.next_bin += int(full.sum())
+        return pieces, kind, bins, offset
+
+    def close_rest(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First fit by falling length of what the classes have left: under k pieces of class k."""
-        rest = sorted((p for open_ in self.open.values() for p in open_), key=lambda p: -p[2])
-        shared: list[list] = []
-        free: list[int] = []
-        for piece in rest:
-            i = next((i for i, f in enumerate(free) if f >= piece[2]), len(free))
-            if i == len(free):
-                free.append(self.capacity)
-                shared.append([])
-            free[i] -= piece[2]
-            shared[i].append(piece)
-        for pieces in shared:
-            self.close(pieces, done)
-        self.open.clear()
-
-
-def _frame(rows: list, names: list[str], types: list) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[] for _ in names]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+        pieces = self.left[np.argsort(-self.left["length"], kind="stable")]
+        bins, offset, free = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), []
+        for at, length in enumerate(pieces["length"].tolist()):
+            i = next((i for i, f in enumerate(free) if f >= length), len(free))
+            free += [self.capacity] * (i == len(free))
+            bins[at], offset[at] = i, self.capacity - free[i]
+            free[i] -= length
+        bins += self.next_bin
+        self.next_bin += len(free)
+        self.left = self.left[:0]
+        return pieces, self.capacity // pieces["length"], bins, offset
+
+
+#: Stands for a null id among the ids of pieces.
+NO_ID = np.iinfo(np.int64).min
+
+
+def _rows(pieces: np.ndarray, kind: np.ndarray, bins: np.ndarray, offset: np.ndarray | None, names: list[str],
+          types: list) -> pa.RecordBatch:
+    columns = [pa.array(pieces["doc"], mask=pieces["doc"] == NO_ID)]
+    columns += [pa.array(np.ascontiguousarray(pieces[c])) for c in ("start", "length", "crc", "total")]
+    columns += [pa.array(kind.astype(np.int32)), pa.array(bins)]
+    columns.append(pa.nulls(len(pieces), pa.int64()) if offset is None else pa.array(offset))
+    return pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, types)], names)
+
+
+def release() -> None:
+    """Hand memory that earlier tasks of a reused worker have freed back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def pack_documents(
@@ -232,54 +273,59 @@ def pack_documents(
     types = [pa.int64()] * 5 + [pa.int32(), pa.int64(), pa.int64()]
 
     def first_pass(batches):
+        release()
         encoder, worker = ChunkEncoder(tokenizer_path), TaskContext.get().partitionId()
         bins = Bins(capacity, worker)
         for batch in batches:
-            for block in blocks(batch, 8 << 20):
-                done: list = []
+            for block in blocks(batch, 2 << 20):
                 parts = [
                     (row, part)
                     for row, text in enumerate(block.column("text").to_pylist())
-                    for part in slices(text or "", 4 << 20)
+                    for part in slices(text or "", 2 << 20)
                 ]
-                found: list[list] = [[] for _ in range(block.num_rows)]
                 # several parts of one long text are encoded one by one
                 step = len(parts) if len(parts) == block.num_rows else 1
-                for i in range(0, len(parts), step):
-                    ids, sizes = encoder.encode([part for _, part in parts[i : i + step]])
-                    ends = np.cumsum(sizes)
-                    for (row, _), end, size in zip(parts[i : i + step], ends.tolist(), sizes.tolist()):
-                        found[row].append(ids[end - size : end])
-                for doc, own in zip(block.column("doc_id").to_pylist(), found):
-                    raw = np.concatenate([*own, [separator]]).astype("<u4").tobytes()
-                    total, start = len(raw) // 4, 0
-                    for length in cut(total, capacity, smallest):
-                        crc = zlib.crc32(raw[4 * start : 4 * (start + length)])
-                        bins.add([doc, start, length, crc, total], done)
-                        start += length
-                yield _frame(done, names, types)
-        left = [
-            [*piece, capacity // piece[2], -1 - worker // GROUP, None]
-            for open_ in bins.open.values()
-            for piece in open_
-        ]
-        yield _frame(left, names, types)
+                found = [encoder.encode([part for _, part in parts[i : i + step]]) for i in range(0, len(parts), step)]
+                sizes = np.bincount([row for row, _ in parts], np.concatenate([n for _, n in found]), block.num_rows)
+                totals = sizes.astype(np.int64) + 1
+                raw = np.full(totals.sum(), separator, "<u4")
+                own = np.ones(len(raw), bool)
+                own[np.cumsum(totals) - 1] = False
+                raw[own] = np.concatenate([ids for ids, _ in found])
+                rows, starts, lengths = cut_all(totals, capacity, smallest)
+                pieces = np.zeros(len(rows), PIECE)
+                docs_of = block.column("doc_id").fill_null(NO_ID).to_numpy()
+                pieces["doc"], pieces["start"], pieces["length"], pieces["total"] = docs_of[rows], starts, lengths, totals[rows]
+                ends = np.cumsum(lengths) * 4
+                view = memoryview(raw.tobytes())
+                pieces["crc"] = [zlib.crc32(view[a:b]) for a, b in zip([0, *ends.tolist()], ends.tolist())]
+                yield _rows(*bins.add(pieces), names, types)
+        left, group = bins.left, np.full(len(bins.left), -1 - worker // GROUP)
+        yield _rows(left, capacity // left["length"], group, None, names, types)
+        del encoder
+        release()
 
     def second_pass(batches):
         """Rows of a group of workers stand together."""
-        bins, now, done = None, None, []
+        bins, now = None, None
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(7))):
-                if row[6] != now:
+            groups = batch.column("sequence_id").to_numpy()
+            pieces = np.zeros(len(groups), PIECE)
+            pieces["doc"] = batch.column("doc_id").fill_null(NO_ID).to_numpy()
+            for at, name in enumerate(names[1:5], 1):
+                pieces[PIECE.names[at]] = batch.column(name).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(groups)]
+            for a, b in zip(edges, edges[1:]):
+                if b == a:
+                    continue
+                if groups[a] != now:
                     if bins:
-                        bins.close_rest(done)
-                    bins, now = Bins(capacity, (1 << 30) - row[6]), row[6]
-                bins.add(list(row[:5]), done)
-            yield _frame(done, names, types)
-            done = []
+                        yield _rows(*bins.close_rest(), names, types)
+                    now = int(groups[a])
+                    bins = Bins(capacity, (1 << 30) - now)
+                yield _rows(*bins.add(pieces[a:b]), names, types)
         if bins:
-            bins.close_rest(done)
-        yield _frame(done, names, types)
+            yield _rows(*bins.close_rest(), names, types)
 
     spark = docs.sparkSession
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))

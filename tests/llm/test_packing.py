@@ -5,15 +5,38 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from formtide.llm.packing import ChunkEncoder, cut, pack_documents, slices
+from formtide.llm.packing import ChunkEncoder, cut_all, pack_documents, slices
 from tests.llm.cases import awkward_docs, empty_docs
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def cut(total, capacity, smallest):
+    """Lengths of the pieces of a document, one by one."""
+    out, rest, size = [capacity] * (total // capacity), total % capacity, capacity // 2
+    while size >= smallest:
+        if rest >= size:
+            out.append(size)
+            rest -= size
+        size //= 2
+    return out + [rest] * (rest > 0)
+
+
+def test_all_documents_are_cut_as_one_by_one():
+    totals = np.array([1, 5000, 2048, 64, 63, 2047, 1, 4097, 130])
+    rows, starts, lengths = cut_all(totals, 2048, 64)
+    for row, total in enumerate(totals):
+        own = lengths[rows == row].tolist()
+        assert own == cut(int(total), 2048, 64) and starts[rows == row].tolist() == (np.cumsum(own) - own).tolist()
+
+
 def test_ids_are_those_of_the_tokenizer(spark):
     tokenizer, encoder = Tokenizer.from_file(PATH), ChunkEncoder(PATH)
     texts = [r.text or "" for r in awkward_docs(spark).collect()] + [" lead", "trail ", "a \x1c b", "don't we'll <|endoftext|>"]
+    small = ChunkEncoder(PATH, most=3, most_bytes=10)  # begins anew all the time
+    assert [small.encode(texts[i : i + 7])[0].tolist() for i in range(0, len(texts), 7)] == [
+        encoder.encode(texts[i : i + 7])[0].tolist() for i in range(0, len(texts), 7)
+    ]
     ids, sizes = encoder.encode(texts)
     expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert sizes.tolist() == [len(e) for e in expected]
