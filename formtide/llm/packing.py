@@ -16,10 +16,10 @@ import ctypes
 import gc
 import re
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +38,13 @@ GROUP = 16
 DOUBLE_SPACE = re.compile(r"\s\s")
 
 
+def chunks(text: str) -> list[str]:
+    """A text cut at the spaces between two non-spaces, without those spaces."""
+    if text[0].isspace() or text[-1].isspace() or DOUBLE_SPACE.search(text):
+        return BORDER.split(text)
+    return text.split(" ")
+
+
 class Codes(dict):
     """Numbers its keys in the order in which they are first asked for."""
 
@@ -76,7 +83,7 @@ class ChunkEncoder:
 
     def learn(self) -> None:
         """Encode the chunks that were numbered since the last call; all begin with a space."""
-        news = list(self.known)[len(self.counts) :]
+        news = list(islice(self.known, len(self.counts), None))
         self.held += sum(map(len, news))
         counts, pieces, order, alone = np.zeros(len(news), np.int64), [], [], []
         for i in range(0, len(news), 512):
@@ -111,18 +118,21 @@ class ChunkEncoder:
         """All ids, and the number of ids of each text."""
         if len(self.known) > self.most or self.held > self.most_bytes:
             self.reset()
-        words, sizes, rows = split_texts(texts)
-        if not len(words):
+        codes: list[int] = []
+        firsts: list[str] = []
+        number = self.known.__getitem__
+        sizes = np.zeros(len(texts), np.int64)
+        for row, text in enumerate(texts):
+            if text:
+                first, *rest = chunks(text)
+                firsts.append(first)
+                codes.append(-len(firsts))
+                codes.extend(map(number, rest))
+                sizes[row] = 1 + len(rest)
+        if not codes:
             return np.zeros(0, np.uint32), sizes
-        # Arrow finds the distinct chunks; only these are looked up one by one
-        cells = words.dictionary_encode()
-        distinct = cells.dictionary.to_pylist()
-        numbers = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        codes = numbers[cells.indices.to_numpy()]
         self.learn()
         # a text's first chunk has no space before it: it is encoded for itself
-        places = np.cumsum(sizes[rows]) - sizes[rows]
-        firsts = words.take(pa.array(places)).to_pylist()
         own = [
             np.array(found.ids, np.uint32)
             for found in self.tokenizer.encode_batch(firsts, add_special_tokens=False)
@@ -131,31 +141,12 @@ class ChunkEncoder:
         ids = np.concatenate([self.ids, *own])
         begin = np.append(self.begin, len(self.ids) + np.cumsum(own_counts) - own_counts)
         counts = np.append(self.counts, own_counts)
-        codes[places] = len(self.counts) + np.arange(len(places))
-        lengths = counts[codes]
-        ids = ids[np.repeat(begin[codes], lengths) + spans(lengths)]
-        found = np.zeros(len(texts), np.int64)
-        found[rows] = np.add.reduceat(lengths, places)
-        # texts of both kinds back in their order
-        at = np.zeros(len(texts), np.int64)
-        at[rows] = np.cumsum(found[rows]) - found[rows]
-        return ids[np.repeat(at, found) + spans(found)], found
-
-
-def split_texts(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Chunks of all texts that are not empty, one after another; number of chunks per text; the texts in
-    the order of their chunks: first those that are cut at every space, then the others."""
-    plain, other = [], []
-    for row, text in enumerate(texts):
-        if text:
-            uneven = text[0].isspace() or text[-1].isspace() or DOUBLE_SPACE.search(text)
-            (other if uneven else plain).append(row)
-    lists = [pc.split_pattern(pa.array([texts[r] for r in plain], pa.string()), " ")]
-    lists.append(pa.array([BORDER.split(texts[r]) for r in other], pa.list_(pa.string())))
-    rows = np.array(plain + other, np.int64)
-    sizes = np.zeros(len(texts), np.int64)
-    sizes[rows] = np.concatenate([np.asarray(pc.list_value_length(x), np.int64) for x in lists])
-    return pa.concat_arrays([x.flatten() for x in lists]), sizes, rows
+        codes = np.array(codes)
+        codes = np.where(codes < 0, len(self.counts) - 1 - codes, codes)
+        ids = ids[np.repeat(begin[codes], counts[codes]) + spans(counts[codes])]
+        chunk_ends = np.concatenate(([0], np.cumsum(counts[codes])))
+        text_ends = np.concatenate(([0], np.cumsum(sizes)))
+        return ids, np.diff(chunk_ends[text_ends])
 
 
 def slices(text: str, size: int):
