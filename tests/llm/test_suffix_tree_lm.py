@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from formtide.llm.suffix_tree_lm import BASE_SYMBOLS, build_tree, score_texts
+from formtide.llm.suffix_tree_lm import numbered, places_in_order, score_texts
 from tests.llm.cases import awkward_docs, empty_docs
 
 
@@ -49,16 +49,27 @@ def test_tree_beats_the_base_on_unseen_documents(spark):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
-def test_states_are_distributions_and_contexts_need_evidence():
-    words, counts = np.array([10, 20], np.uint64), np.array([500, 500])
-    a, b = np.uint64(2), np.uint64(3)
-    keys = np.sort(np.array([a * BASE_SYMBOLS + b, b * BASE_SYMBOLS + a, b * BASE_SYMBOLS + b], np.uint64))
-    tree = build_tree(words, counts, 1100, 100, 10, [(keys, np.array([500.0, 250.0, 250.0]))], 10, 50.0, 0.75)
-    assert np.allclose((10**tree.table).sum(axis=1), 1)
-    assert len(tree.table) >= 2  # what follows a diverges from the base
-    symbols = np.array([2, 3, 2, 3])
-    state = tree.state_before(symbols, np.array([0, 0, 1, 1]))
-    assert state[0] == 0 and state[2] == 0 and state[1] > 0
+def test_order_and_numbers_of_hashes():
+    rng = np.random.RandomState(3)
+    few = rng.randint(0, 50, 1000)
+    for limit in (50, 1 << 62):  # with places in 64 bits, and without
+        assert (places_in_order(few, limit) == np.argsort(few, kind="stable")).all()
+    near = np.array([5, 3, 9, 3, 2**63 + 1, 2**63, 5], np.uint64)  # differ in their last bits
+    far = rng.randint(0, 1 << 62, 500).astype(np.uint64)[rng.randint(0, 500, 3000)]
+    for keys in (near, far, far[:1], far[:0]):
+        words, number = numbered(keys)
+        assert (words == np.unique(keys)).all() and (words[number] == keys).all()
+
+
+def test_scores_of_states_that_are_distributions(spark):
+    words = ["a", "b", "c", "d"]
+    docs = [(7 * i, "x y a" if i % 2 else "z y b") for i in range(200)] + [(10_000 + i, f"x y {w}") for i, w in enumerate(words)]
+    docs = spark.createDataFrame(docs + [(20_000, "x y"), (20_001, "y"), (20_002, "x"), (20_003, "")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in score_texts(docs, least_count=2, divisor=1 << 30, held=-1).collect()}
+    texts = [(tokens(r.text), False) for r in docs.collect()]
+    expected, kept = brute_scores(texts, 2, 2)
+    assert kept[2] > 0
+    assert [rows[r.doc_id].score for r in docs.collect()] == pytest.approx(expected, abs=1e-4)
 
 
 def test_empty_table(spark):
@@ -92,6 +103,8 @@ def brute_scores(texts, least, depth, evidence=4.0, discount=0.75):
                 g = 2 * sum(k * math.log(k / total / p(context[1:], t)) for t, k in n.items())
                 if g >= evidence * len(n):
                     kept[context] = True
+    if len(c) < 20:  # what a state gives all words and one never seen sums to one
+        assert all(sum(p(state, t) for t in [*c, "never seen"]) == pytest.approx(1) for state in [(), *kept])
     scores = [sum(math.log10(p(tuple(own[max(0, i - depth) : i]), t)) for i, t in enumerate(own)) for own, _ in texts]
     return scores, Counter(map(len, kept))
 
