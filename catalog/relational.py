@@ -216,6 +216,20 @@ def page_slice(t):
     return ordering.page_slice(t.orders, order, page=3).select("o_orderkey", "o_orderdate")
 
 
+@query(
+    """
+    SELECT l_shipdate, l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+    ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC LIMIT 100
+    OFFSET (SELECT count(*) // 200 * 100 FROM lineitem)
+    """
+)
+def page_seek(t):
+    # the page in the middle of the table
+    half = t.lineitem.count() // 200
+    keys = ["l_shipdate", "l_orderkey", "l_linenumber"]
+    return ordering.seek_page(t.lineitem, keys, half, descending=True).select(*keys, "l_extendedprice")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem")
 def sort_descending(t):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")

@@ -103,6 +103,32 @@ def list_objects(t):
     return objects.media_objects(listing, "images").select("form").distinct()
 
 
+@query(
+    """
+    SELECT 's_nationkey=' || s_nationkey AS form, 's_suppkey=' || s_suppkey AS object,
+           'images/s_nationkey=' || s_nationkey || '/s_suppkey=' || s_suppkey AS folder,
+           length(s_name) + 1 AS n_bytes
+    FROM supplier
+    """
+)
+def list_object_keys(t):
+    # one object per row: a lost, doubled or wrongly keyed object shows
+    media = t.scratch("media")
+    lines = t.supplier.select("s_nationkey", "s_suppkey", F.col("s_name").alias("value"))
+    lines.write.partitionBy("s_nationkey", "s_suppkey").text(f"{media}/images")
+    listing = objects.list_objects(t.spark, media, ".txt")
+    found = objects.media_objects(listing, "images")
+    sizes = listing.select(
+        F.regexp_extract("path", "(images/.+)$", 1).alias("key"), F.col("length").alias("n_bytes")
+    )
+    return found.join(sizes, "key").select(
+        "form",
+        F.split_part("file_name", F.lit("/"), F.lit(1)).alias("object"),
+        F.regexp_extract("key", "^(.+)/[^/]+$", 1).alias("folder"),
+        "n_bytes",
+    )
+
+
 @query("SELECT c_custkey, c_name AS pdf_file_id FROM customer")
 def latest_tables(t):
     # the later of two silver tables becomes the gold table

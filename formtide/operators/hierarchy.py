@@ -69,9 +69,10 @@ def list_files_deep(entries: DataFrame, root: str) -> DataFrame:
 def list_tree(entries: DataFrame, root: str) -> DataFrame:
     """The hierarchy in rows: every folder with each of its files, empty folders too.
 
-    One row per folder and file, so no folder is gathered into one value. Files meet their
-    folder in an inner join, whose skewed side adaptive execution can split; an outer join
-    would pin a folder that holds most files to one task. Empty folders are added after it.
+    One row per folder and file, so no folder is gathered into one value. A folder without files
+    enters the files as one row without a file; all of them then meet the one walk in an inner join,
+    whose skewed side adaptive execution can split, where an outer join would pin a folder that holds
+    most files to one task.
     """
     files = _files(entries).select(
         "folder_id",
@@ -79,11 +80,12 @@ def list_tree(entries: DataFrame, root: str) -> DataFrame:
         F.col("name").alias("file_name"),
         "mimeType",
     )
-    folders = folder_paths(entries, root)
-    filled = files.join(folders, "folder_id")
-    empty = folders.join(files.select("folder_id").distinct(), "folder_id", "left_anti")
+    folders = _live(entries).filter(F.col("mimeType") == FOLDER_MIME).select(F.col("id").alias("folder_id"))
+    folders = folders.unionByName(entries.sparkSession.range(1).select(F.lit(root).alias("folder_id")))
+    empty = folders.distinct().join(files.select("folder_id").distinct(), "folder_id", "left_anti")
+    content = files.unionByName(empty, allowMissingColumns=True)
     columns = ["folder_id", "path", "file_id", "file_name", "mimeType"]
-    return filled.select(*columns).unionByName(empty, allowMissingColumns=True)
+    return content.join(folder_paths(entries, root), "folder_id").select(*columns)
 
 
 def resolve_path(entries: DataFrame, root: str, path: str) -> DataFrame:

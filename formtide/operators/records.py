@@ -408,7 +408,13 @@ def normalize_json(df: DataFrame, source: str, depth: int | None = None) -> Data
 def find_by_prefix(
     df: DataFrame, source: str, prefix: str, depth: int | None = None
 ) -> DataFrame:
-    """String values that start with a prefix, at any depth; not those directly in a list."""
+    """String values that start with a prefix, at any depth; not those directly in a list.
+
+    A record is unfolded only if its text holds the prefix at all, or an escape that may spell it.
+    """
+    if not isinstance(df.schema[source].dataType, T.VariantType):
+        text = as_column(source)
+        df = df.filter(F.contains(text, F.lit(prefix)) | F.contains(text, F.lit("\\")))
     leaves = flatten_json(df, source, depth=depth)
     wanted = (F.col("kind") == "str") & ~F.col("in_list") & F.startswith("value", F.lit(prefix))
     return leaves.filter(wanted)

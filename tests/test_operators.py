@@ -133,6 +133,28 @@ def entries(spark):
     )
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_seek_page_is_the_slice_of_the_sorted_rows(spark, descending):
+    some = spark.range(0, 3000, 1, 4).selectExpr("if(id % 10 = 0, null, cast(id % 7 as double)) AS a", "id AS `b.c`", "id AS v")
+    table = sorted(some.collect(), key=lambda r: (r.a is not None, r.a or 0.0, r["b.c"]), reverse=descending)
+    for page in (0, 30, 149, 298, 299, 300, 1000):
+        got = ordering.seek_page(some, ["a", "b.c"], page, 10, descending, fan_out=4)
+        assert [r.v for r in got.collect()] == [r.v for r in table[page * 10 : page * 10 + 10]]
+    deep = ordering.seek_page(some, ["a", "b.c"], 200, 10, descending, fan_out=4)
+    plan = deep._jdf.queryExecution().optimizedPlan().toString()
+    assert int(plan.split("GlobalLimit ")[1].split()[0]) <= 10 and "Filter" in plan
+    offset = [int(line.split("Offset ")[1].split()[0]) for line in plan.splitlines() if "Offset " in line]
+    assert sum(offset) <= 100  # ten pages at most are sorted and left out
+    assert ordering.seek_page(some.limit(0), ["a", "b.c"], 50).count() == 0
+    same = spark.range(500).selectExpr("1 AS k")
+    assert ordering.seek_page(same, ["k"], 30, 10).count() == 10
+
+
+def test_the_tree_walks_once(entries):
+    plan = hierarchy.list_tree(entries, "R")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UnionLoop ") == 1
+
+
 def test_hierarchy(entries):
     children = hierarchy.list_children(entries, "R")
     assert rows(children.select("id", "type")) == [

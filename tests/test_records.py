@@ -122,14 +122,15 @@ def test_kinds(spark):
 
 
 def test_library_flavour(spark):
-    nested = {"a": 1, "b": {"c": None, "f": {"i": {"jjj": [1, 2]}, "p": [{"l1": 1, "l2": 2}]}}}
-    df = frame(spark, [json.dumps([nested, {"z": [[1], 2]}]), json.dumps({"a": "1", "b": "2"})])
+    visit = {"site": "N4", "tank": {"cover": None, "pump": {"hours": [12, 7]}, "readings": [{"ph": 6.5, "ok": True}]}}
+    df = frame(spark, [json.dumps([visit, {"grid": [[3], 4]}]), json.dumps({"team": "x", "crew": "y"})])
     rows = records.flatten_records(df, "doc").collect()
     got = {(r.id, r.item, r.path): r.value for r in rows}
     assert got == {
-        (0, 0, "a"): "1", (0, 0, "b.c"): None, (0, 0, "b.f.i.jjj.0"): "1", (0, 0, "b.f.i.jjj.1"): "2",
-        (0, 0, "b.f.p.0.l1"): "1", (0, 0, "b.f.p.0.l2"): "2",
-        (0, 1, "z.0.0"): "1", (0, 1, "z.1"): "2", (1, 0, "a"): "1", (1, 0, "b"): "2",
+        (0, 0, "site"): "N4", (0, 0, "tank.cover"): None,
+        (0, 0, "tank.pump.hours.0"): "12", (0, 0, "tank.pump.hours.1"): "7",
+        (0, 0, "tank.readings.0.ph"): "6.5", (0, 0, "tank.readings.0.ok"): "true",
+        (0, 1, "grid.0.0"): "3", (0, 1, "grid.1"): "4", (1, 0, "team"): "x", (1, 0, "crew"): "y",
     }
 
 
@@ -145,6 +146,19 @@ def test_find_by_prefix_ignores_strings_in_lists(spark):
     assert sorted(r.value for r in rows) == ["gridfs://1", "gridfs://3"]
 
 
+def test_find_by_prefix_unfolds_only_records_that_may_hold_it(spark):
+    documents = ['{"a":"gridfs:\\/\\/1"}', '{"a":"\\u0067ridfs://2"}', '{"a":"other"}', '{"gridfs://":1}', None, "gridfs://"]
+    df = frame(spark, documents)
+    found = records.find_by_prefix(df, "doc", "gridfs://")
+    assert sorted((r.id, r.value) for r in found.collect()) == [(0, "gridfs://1"), (1, "gridfs://2")]
+    plan = records.find_by_prefix(df, "doc", "gridfs://")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Contains(doc") > plan.rindex("variant_explode")  # below all generators
+    quoted = frame(spark, ['{"a":"\\"x\\" y"}'])
+    assert [r.value for r in records.find_by_prefix(quoted, "doc", '"x').collect()] == ['"x" y']
+    parsed = df.select("id", records.parse_json("doc").alias("doc"))
+    assert records.find_by_prefix(parsed, "doc", "gridfs://").count() == 2
+
+
 def test_collisions_keep_the_value_nearest_the_root(spark):
     leaves = records.flatten_json(frame(spark, ['{"a":{"b":1},"a_b":2,"c":3}']), "doc")
     fields = reshape.gather_fields(leaves, ["id"])

@@ -19,27 +19,27 @@ def rows(df):
 
 
 @pytest.fixture
-def people(spark):
-    return spark.createDataFrame([("Alice", 25), ("Bob", 30), ("Charlie", 35)], "name string, age int")
+def places(spark):
+    return spark.createDataFrame([("well 12", 4), ("pond", 19), ("north gate", 3), ("é", 0)], "place string, visits int")
 
 
-def test_tables(spark, people, tmp_path):
+def test_tables(spark, places, tmp_path):
     options = {"format": "csv", "sep": "\t", "header": "true"}
     before = dict(options)
-    tables.write_table(people, f"{tmp_path}/p.tsv", options)
-    assert rows(tables.read_table(spark, f"{tmp_path}/p.tsv", {**options, "inferSchema": "true"})) == rows(people)
+    tables.write_table(places, f"{tmp_path}/p.tsv", options)
+    assert rows(tables.read_table(spark, f"{tmp_path}/p.tsv", {**options, "inferSchema": "true"})) == rows(places)
     assert options == before
     tables.convert(spark, f"{tmp_path}/p.tsv", f"{tmp_path}/p.json", options)
-    assert sorted(tables.read_table(spark, f"{tmp_path}/p.json").columns) == ["age", "name"]
-    tables.write_table(people, f"{tmp_path}/p.parquet")
-    tables.write_table(people.limit(1), f"{tmp_path}/p.parquet")
+    assert sorted(tables.read_table(spark, f"{tmp_path}/p.json").columns) == ["place", "visits"]
+    tables.write_table(places, f"{tmp_path}/p.parquet")
+    tables.write_table(places.limit(1), f"{tmp_path}/p.parquet")
     assert tables.read_table(spark, f"{tmp_path}/p.parquet").count() == 1
     with pytest.raises(Exception, match="already exists"):
-        tables.write_table(people, f"{tmp_path}/p.parquet", overwrite=False)
-    for call in (lambda: tables.read_table(spark, ""), lambda: tables.write_table(people, "")):
+        tables.write_table(places, f"{tmp_path}/p.parquet", overwrite=False)
+    for call in (lambda: tables.read_table(spark, ""), lambda: tables.write_table(places, "")):
         with pytest.raises(ValueError):
             call()
-    assert tables.empty_table(spark, people.schema).count() == 0
+    assert tables.empty_table(spark, places.schema).count() == 0
     assert tables.read_parquet_or_none(spark, f"{tmp_path}/none.parquet") is None
     assert tables.table_format("s3a://b/k/x.orc?v=1") == "orc"
 
