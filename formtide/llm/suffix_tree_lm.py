@@ -33,6 +33,20 @@ ASKED_NAMES = ["bucket", "source", "contexts", "runs", "symbols", "n", "p"]
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers as bytes, those of one place together, compressed; hashes would not get smaller."""
+    places = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return len(values).to_bytes(8, "little") + (pa.compress(places.tobytes(), "zstd", asbytes=True) if len(values) else b"")
+
+
+def expanded(raw: bytes, kind) -> np.ndarray:
+    n, size = int.from_bytes(raw[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    places = np.frombuffer(pa.decompress(raw[8:], n * size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(places.reshape(size, n).T).view(kind).ravel()
+
+
 def tokens_of(block: pa.RecordBatch, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
     """Row and hash of every token; each row ends with ``END``."""
     data, offsets = text_bytes(block.column("text"))
@@ -61,11 +75,11 @@ def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
 def packed(to: np.ndarray, source: int, keys: np.ndarray, counts: np.ndarray | None) -> pa.RecordBatch:
     order = np.argsort(to, kind="stable")
     buckets, starts = np.unique(to[order], return_index=True)
-    cut = lambda a: [x.tobytes() for x in np.split(a[order], starts[1:])] if len(buckets) else []
-    counted = cut(counts) if counts is not None else [b""] * len(buckets)
+    cut = lambda a: np.split(a[order], starts[1:]) if len(buckets) else []
+    counted = [squeezed(c) for c in cut(counts)] if counts is not None else [b""] * len(buckets)
     return pa.RecordBatch.from_arrays(
         [pa.array(buckets, pa.int32()), pa.array([source] * len(buckets), pa.int32()),
-         pa.array(cut(keys), pa.binary()), pa.array(counted, pa.binary())], NAMES,
+         pa.array([k.tobytes() for k in cut(keys)], pa.binary()), pa.array(counted, pa.binary())], NAMES,
     )
 
 
@@ -94,10 +108,8 @@ def count_keys(docs: DataFrame, keys_of, deal, n: int, most: int = 1 << 21) -> D
             yield packed(deal(keys, n), 0, keys, counts)
 
     def total(table: pa.Table) -> pa.Table:
-        keys, counts = (
-            np.concatenate([np.frombuffer(b, t) for b in table.column(c).to_pylist()])
-            for c, t in (("keys", np.uint64), ("counts", np.int64))
-        )
+        keys = np.concatenate([np.frombuffer(b, np.uint64) for b in table.column("keys").to_pylist()])
+        counts = np.concatenate([expanded(b, np.int64) for b in table.column("counts").to_pylist()])
         keys, counts = summed(keys, counts)
         bucket = table.column("bucket")[0].as_py()
         return pa.Table.from_batches([packed(np.full(len(keys), bucket), 0, keys, counts)], schema_of_packed())
@@ -187,8 +199,10 @@ class Runs:
             context = self.context[own]
             new = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
             runs = np.diff(np.append(new, len(own))).astype(np.uint32)
-            for column, x in zip(columns, (context[new], runs, self.symbol[own], self.times[own], self.before[own])):
-                column.append(x.tobytes())
+            cells = (context[new].tobytes(), squeezed(runs), self.symbol[own].tobytes())
+            cells += (squeezed(self.times[own]), squeezed(self.before[own]))
+            for column, cell in zip(columns, cells):
+                column.append(cell)
         return pa.RecordBatch.from_arrays(
             [pa.array(buckets, pa.int32()), pa.array([source] * len(buckets), pa.int32())]
             + [pa.array(c, pa.binary()) for c in columns], ASKED_NAMES,
@@ -201,9 +215,9 @@ class Runs:
         for bucket, a, b in zip(buckets.tolist(), starts, np.append(starts[1:], len(self.to))):
             flags, told = heard[bucket]
             if bucket < n_keys:
-                value[a:b], often[a:b] = np.frombuffer(told, np.float32), np.frombuffer(flags, np.uint8)
+                value[a:b], often[a:b] = expanded(told, np.float32), expanded(flags, np.uint8)
                 continue
-            own, n = self.order[a:b], np.frombuffer(told, np.float64)
+            own, n = self.order[a:b], expanded(told, np.float64)
             keys, total, free, kept = hot
             place = np.searchsorted(keys, self.context[own])
             before = 10.0 ** self.before[own].astype(float)
@@ -229,7 +243,10 @@ def run_keys(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
 def answers(table: pa.Table, n_keys: int, limits: tuple, evidence: float, discount: float) -> pa.Table:
     """Probabilities after the contexts of a bucket; counts and sums (bucket -1) for a part of hot ones."""
     kinds = (np.uint64, np.uint32, np.uint64, np.uint32, np.float32)
-    columns = [[np.frombuffer(x, k) for x in table.column(c).to_pylist()] for c, k in zip(ASKED_NAMES[2:], kinds)]
+    reads = (np.frombuffer, expanded, np.frombuffer, expanded, expanded)
+    columns = [
+        [read(x, kind) for x in table.column(c).to_pylist()] for c, kind, read in zip(ASKED_NAMES[2:], kinds, reads)
+    ]
     context = np.concatenate([np.repeat(c, r) for c, r in zip(*columns[:2])])
     cuts = np.cumsum([len(x) for x in columns[2]])[:-1]
     symbol, n, p = (np.concatenate(c) for c in columns[2:])
@@ -263,8 +280,8 @@ def answers(table: pa.Table, n_keys: int, limits: tuple, evidence: float, discou
         after = (times - np.minimum(times, discount) + free[place] * 10.0**before) / np.maximum(total, 1)[place]
         told = np.where(kept[place], np.log10(np.maximum(after, 1e-300)), np.nan).astype(np.float32)[own]
         flags = ((times >= limits[0]).astype(np.uint8) + (times >= limits[1]).astype(np.uint8))[own]
-    flags = np.split(flags, cuts) if flags is not None else [np.zeros(0)] * len(sources)
-    rows += [(s, bucket, f.tobytes(), t.tobytes()) for s, f, t in zip(sources, flags, np.split(told, cuts))]
+    flags = np.split(flags, cuts) if flags is not None else [np.zeros(0, np.uint8)] * len(sources)
+    rows += [(s, bucket, squeezed(f), squeezed(t)) for s, f, t in zip(sources, flags, np.split(told, cuts))]
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), schema_of_packed())], schema=schema_of_packed())
 
 
@@ -276,13 +293,14 @@ def stays(total: np.ndarray, distinct: np.ndarray, gain: np.ndarray, evidence: f
 def score_texts(docs: DataFrame, least_count: int = 16, depth: int = 2, evidence: float = 4.0,
                 discount: float = 0.75, divisor: int = 7, held: int = 2, id_column: str = "doc_id",
                 text_column: str = "text", least_share: float = 0.0, hot: float = 1e-3,
-                passes: int = 3) -> DataFrame:
+                passes: tuple[int, ...] = (1, 2)) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
     Learns from rows with ``crc32(id) mod divisor <> held``, rows without an id included. Null counts as
     the empty text, which has one token, its end. Contexts that occur ``least_count`` times are tested;
-    a ``least_share`` of the training tokens asks for more. Runs are exchanged in
-    ``passes`` over the key buckets, since disk holds one pass at a time. Without training rows every token has the base probability 1.
+    a ``least_share`` of the training tokens asks for more. Runs of a length are
+    exchanged in its number of ``passes`` over the key buckets (the last holds for all beyond), since disk
+    holds one pass at a time. Without training rows every token has the base probability 1.
     """
     parted, n_docs, n_keys = with_buckets(docs, id_column, text_column)
     held_out = F.coalesce(remainder("doc_id", divisor) == held, F.lit(False)).alias("held_out")
@@ -293,7 +311,7 @@ def score_texts(docs: DataFrame, least_count: int = 16, depth: int = 2, evidence
 
     def sums(batches):
         for batch in batches:
-            parts = [np.frombuffer(c, np.int64) for c in batch.column("counts").to_pylist()]
+            parts = [expanded(c, np.int64) for c in batch.column("counts").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([sum(int(p.sum()) for p in parts)]), pa.array([sum(map(len, parts))])], ["tokens", "words"]
             )
@@ -321,12 +339,12 @@ def score_texts(docs: DataFrame, least_count: int = 16, depth: int = 2, evidence
         """Counts of the words that were asked for, in their order; ``source`` is now the words' bucket."""
         keys, counts = np.zeros(1, np.uint64), np.zeros(1, np.int64)
         for k, c in zip(known.column("keys").to_pylist(), known.column("counts").to_pylist()):
-            keys, counts = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
+            keys, counts = np.frombuffer(k, np.uint64), expanded(c, np.int64)
         out = []
         for source, words_ in zip(asked.column("source").to_pylist(), asked.column("keys").to_pylist()):
             wanted = np.frombuffer(words_, np.uint64)
             at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            out.append((source, np.where(keys[at] == wanted, counts[at], 0).tobytes()))
+            out.append((source, squeezed(np.where(keys[at] == wanted, counts[at], 0))))
         bucket = asked.column("bucket")[0].as_py() if len(out) else 0
         return pa.table(
             [pa.array([o[0] for o in out], pa.int32()), pa.array([bucket] * len(out), pa.int32()),
@@ -343,18 +361,18 @@ def score_texts(docs: DataFrame, least_count: int = 16, depth: int = 2, evidence
         number = np.zeros(len(runs.words), np.int64)
         to = bucket_of(runs.words, n_keys)
         for source, (_, counts) in told.get(0, {}).items():
-            number[to == source] = np.frombuffer(counts, np.int64)
+            number[to == source] = expanded(counts, np.int64)
         runs.start(number, scale, limits)
         for i in range(1, length):
             runs.ask(i, n_keys)
             runs.hear(told.get(i, {}), i, n_keys, hots[i - 1], limits, discount)
         return runs
 
-    def ask_runs(length: int, hots: list, part: int):
+    def ask_runs(length: int, hots: list, part: int, parts: int):
         def run(texts: pa.Table, heard: pa.Table) -> pa.Table:
             runs = runs_of(texts, heard, length, hots)
             runs.ask(length, n_keys)
-            batch = [] if not texts.num_rows else [runs.questions(texts.column("bucket")[0].as_py(), part, passes)]
+            batch = [] if not texts.num_rows else [runs.questions(texts.column("bucket")[0].as_py(), part, parts)]
             kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 5
             return pa.Table.from_batches(batch, pa.schema(list(zip(ASKED_NAMES, kinds))))
 
@@ -381,9 +399,9 @@ def score_texts(docs: DataFrame, least_count: int = 16, depth: int = 2, evidence
     told = asked.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(tell, PACKED)
     heard, hots = settled(told, "words"), []
     for length in range(1, depth + 1):
-        told = None
-        for part in range(passes):
-            asked = join_answers(ready, heard, ask_runs(length, list(hots), part), ASKED)
+        told, parts = None, passes[min(length, len(passes)) - 1]
+        for part in range(parts):
+            asked = join_answers(ready, heard, ask_runs(length, list(hots), part, parts), ASKED)
             tell_runs = lambda table: answers(table, n_keys, limits, evidence, discount)
             more = settled(asked.groupBy("bucket").applyInArrow(tell_runs, PACKED), f"runs{length}_{part}")
             told = more if told is None else told.unionByName(more)

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from formtide.llm.suffix_tree_lm import numbered, places_in_order, score_texts
+from formtide.llm.suffix_tree_lm import expanded, numbered, places_in_order, score_texts, squeezed
 from tests.llm.cases import awkward_docs, empty_docs
 
 
@@ -61,6 +61,11 @@ def test_order_and_numbers_of_hashes():
         assert (words == np.unique(keys)).all() and (words[number] == keys).all()
 
 
+def test_squeezed_numbers_come_back():
+    for values in (np.arange(5, dtype=np.int64), np.array([np.nan, -1.5], np.float32), np.zeros(0, np.uint8), np.array([2.5])):
+        assert np.array_equal(expanded(squeezed(values), values.dtype), values, equal_nan=values.dtype.kind == "f")
+
+
 def test_scores_of_states_that_are_distributions(spark):
     words = ["a", "b", "c", "d"]
     docs = [(7 * i, "x y a" if i % 2 else "z y b") for i in range(200)] + [(10_000 + i, f"x y {w}") for i, w in enumerate(words)]
