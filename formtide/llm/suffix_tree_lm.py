@@ -293,7 +293,7 @@ def stays(total: np.ndarray, distinct: np.ndarray, gain: np.ndarray, evidence: f
 def score_texts(docs: DataFrame, least_count: int = 16, depth: int = 2, evidence: float = 4.0,
                 discount: float = 0.75, divisor: int = 7, held: int = 2, id_column: str = "doc_id",
                 text_column: str = "text", least_share: float = 0.0, hot: float = 1e-3,
-                passes: tuple[int, ...] = (1, 2)) -> DataFrame:
+                passes: tuple[int, ...] = (2, 2)) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
     Learns from rows with ``crc32(id) mod divisor <> held``, rows without an id included. Null counts as
