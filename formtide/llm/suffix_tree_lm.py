@@ -290,7 +290,7 @@ def stays(total: np.ndarray, distinct: np.ndarray, gain: np.ndarray, evidence: f
     return (total > 0) & (2 * (gain - total * np.log(np.maximum(total, 1))) >= evidence * distinct)
 
 
-def score_texts(docs: DataFrame, least_count: int = 16, depth: int = 2, evidence: float = 4.0,
+def score_texts(docs: DataFrame, least_count: int = 8, depth: int = 2, evidence: float = 4.0,
                 discount: float = 0.75, divisor: int = 7, held: int = 2, id_column: str = "doc_id",
                 text_column: str = "text", least_share: float = 0.0, hot: float = 1e-3,
                 passes: tuple[int, ...] = (2, 2)) -> DataFrame:
