@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from formtide.functions.columns import as_column
-from formtide.functions.fixed_values import MAX_EPOCH_MS, UNIT_MICROS
+from formtide.functions.fixed_values import UNIT_MICROS
 
 INFINITY_WORDS = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
 
@@ -30,10 +30,16 @@ def to_number(value: Column | str) -> Column:
 
 
 def epoch_ms_to_timestamp(value: Column | str) -> Column:
-    """Epoch milliseconds (integer or decimal text) to timestamp; out of range is null."""
+    """Epoch milliseconds (integer or decimal text) to timestamp; out of range is null.
+
+    The range is that of the timestamp, a 64-bit microsecond clock. Whole milliseconds are counted
+    as integers, since a double times 1000 is no longer exact beyond the year 2255.
+    """
     millis = to_number(value)
-    micros = F.round(millis * 1000).try_cast("bigint")
-    return F.when(F.abs(millis) <= MAX_EPOCH_MS, F.timestamp_micros(micros))
+    integer = as_column(value).cast("string").try_cast("bigint")
+    whole = F.coalesce(integer, millis.try_cast("bigint"))
+    below = F.round((millis - whole) * 1000).try_cast("bigint")
+    return F.timestamp_micros(F.try_add(F.try_multiply(whole, F.lit(1000)), below))
 
 
 def text_to_timestamp(value: Column | str, fmt: str | None = "yyyy-MM-dd HH:mm:ss") -> Column:

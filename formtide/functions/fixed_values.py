@@ -106,9 +106,6 @@ PROCESSED_AT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Mime type of a folder in a file listing.
 FOLDER_MIME = "application/vnd.google-apps.folder"
 
-# Largest epoch in milliseconds that a 64-bit nanosecond clock holds.
-MAX_EPOCH_MS = 9223372036854
-
 # Length of a time unit in microseconds.
 UNIT_MICROS = {
     "microseconds": 1,

@@ -41,6 +41,19 @@ def test_epoch_ms(spark):
     assert apply(spark, values, casts.epoch_ms_to_timestamp) == [moment, moment, half, None, None, None, None]
 
 
+def test_epoch_ms_beyond_a_nanosecond_clock(spark):
+    values = ["9223372036855", "28671681925123", "28671681925123.0", "72057594037927", "253402300799999", "-62100000000001"]
+    zero = datetime.datetime(1970, 1, 1)
+    expected = [zero + datetime.timedelta(milliseconds=int(v.split(".")[0])) for v in values]
+    assert apply(spark, values, casts.epoch_ms_to_timestamp) == expected
+    # the last millisecond of the clock, which no double holds, and the first beyond it
+    def micros(value):
+        return F.unix_micros(casts.epoch_ms_to_timestamp(value))
+
+    last = ["9223372036854775", "9223372036854776", "-9223372036854775", "1e300"]
+    assert apply(spark, last, micros) == [9223372036854775000, None, -9223372036854775000, None]
+
+
 def test_single_conversion_keeps_real_dates(spark):
     # converting twice, as the data's former owner did, reads nanoseconds as milliseconds: null
     once = pd.to_datetime(pd.Series([1693526400000]), unit="ms")
