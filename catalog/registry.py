@@ -37,6 +37,13 @@ class Tables:
         cores = self.spark.sparkContext.defaultParallelism
         return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
 
+    def ranged(self, name: str, *keys: str) -> DataFrame:
+        """A table by ranges of its keys, several per core, for writing a folder per key.
+
+        Few tasks share a folder then, and many write at the same time.
+        """
+        return getattr(self, name).repartitionByRange(4 * self.spark.sparkContext.defaultParallelism, *keys)
+
     def scratch(self, name: str) -> str:
         """A new location in the shared checkpoint folder, for queries that write and read back."""
         return f"{ensure_checkpoint_dir(self.spark)}/formtide-{uuid.uuid4().hex}/{name}"

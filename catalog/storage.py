@@ -114,7 +114,8 @@ def list_objects(t):
 def list_object_keys(t):
     # one object per row: a lost, doubled or wrongly keyed object shows
     media = t.scratch("media")
-    lines = t.supplier.select("s_nationkey", "s_suppkey", F.col("s_name").alias("value"))
+    suppliers = t.ranged("supplier", "s_nationkey", "s_suppkey")
+    lines = suppliers.select("s_nationkey", "s_suppkey", F.col("s_name").alias("value"))
     lines.write.partitionBy("s_nationkey", "s_suppkey").text(f"{media}/images")
     listing = objects.list_objects(t.spark, media, ".txt")
     found = objects.media_objects(listing, "images")

@@ -16,6 +16,8 @@ SESSION_CONF = {
     # the folder walk is bounded by the data, not by a cap on rows or levels
     "spark.sql.cteRecursionRowLimit": "-1",
     "spark.sql.cteRecursionLevelLimit": "-1",
+    # a task that lists folders takes many of them: starting it costs more than a folder does
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

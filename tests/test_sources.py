@@ -8,6 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from catalog.registry import Tables
 from formtide.functions.fixed_values import MISSING_TOKENS
 from formtide.operators.records import parse_json
 from formtide.plans import gold
@@ -135,6 +136,28 @@ def test_objects(spark, tmp_path):
     assert "content" not in plan.split("ReadSchema")[-1]
 
 
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    for place in range(150):
+        (tmp_path / f"images/{place}").mkdir(parents=True)
+        (tmp_path / f"images/{place}/a.jpg").write_bytes(b"x")
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        listing = objects.list_objects(spark, str(tmp_path))
+        tracker = spark.sparkContext.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+        assert stages and max(tracker.getStageInfo(stage).numTasks for stage in stages) <= 64
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert listing.count() == 150
+
+
+def test_a_table_by_ranges_is_written_by_many_tasks(spark):
+    table = Tables(spark, "/root/testdata/sf0.01").ranged("supplier", "s_nationkey", "s_suppkey")
+    parts = table.groupBy(F.spark_partition_id().alias("part")).agg(F.countDistinct("s_nationkey").alias("n")).collect()
+    assert len(parts) >= spark.sparkContext.defaultParallelism
+    assert sum(part.n for part in parts) < 25 + len(parts)
+
+
 def test_latest_table(spark):
     data = [
         ("s/ilum/a.csv", 2, 1), ("s/ilum/b.csv", 3, 1), ("s/ilum/c.csv", 3, 1),
