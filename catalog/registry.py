@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from formtide import configure
 from formtide.session import ensure_checkpoint_dir
@@ -28,14 +29,20 @@ class Tables:
         return read_table(self.spark, f"{self.folder}/{name}.parquet")
 
     def spread(self, name: str) -> DataFrame:
-        """A table over at least as many tasks as there are cores.
+        """A table over at least as many tasks as there are cores, none with much more than its share.
 
-        Each table at hand is one small file, hence one task; a table of many files is
-        returned as it is.
+        Each small table is one file, hence one task. A large file is cut by bytes, but its row groups
+        stay whole, so some tasks get several and others none; the rows of each task are counted from
+        the footers, and rows that lie unevenly are dealt anew.
         """
         table = getattr(self, name)
         cores = self.spark.sparkContext.defaultParallelism
-        return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+        if table.rdd.getNumPartitions() < cores:
+            return table.repartition(cores)
+        tasks = table.groupBy(F.spark_partition_id().alias("task")).count()
+        load = tasks.agg(F.max("count").alias("most"), F.sum("count").alias("rows")).first()
+        uneven = (load.most or 0) * cores > 1.25 * (load.rows or 0)
+        return table.repartition(4 * cores) if uneven else table
 
     def ranged(self, name: str, *keys: str) -> DataFrame:
         """A table by ranges of its keys, several per core, for writing a folder per key.

@@ -37,6 +37,10 @@ JSON_KEY = r'"(?:[^"\\]++|\\.)*+":'
 # A non-empty list; an object has no first position.
 IS_FILLED_LIST = "try_variant_get(_node, '$[0]', 'variant') IS NOT NULL"
 
+PREFIXED_OR_CONTAINER = """CASE WHEN schema_of_variant(_node) = 'STRING'
+    THEN NOT in_list AND startswith(try_variant_get(_node, '$', 'string'), :prefix)
+    ELSE startswith(schema_of_variant(_node), 'OBJECT<') OR startswith(schema_of_variant(_node), 'ARRAY<') END"""
+
 WIDE_INTEGER = r"^DECIMAL\((19|[23][0-9]),0\)$"
 
 
@@ -151,6 +155,24 @@ def flatten_json(
     stays within the JVM; a record that turns out deeper then fails the query instead of
     losing leaves.
     """
+    keep = [quoted(name) for name in df.columns if name != source]
+    current = _opened_levels(df, source, sep, parent, depth, explode_arrays)
+    return _leaves(current, keep, sep, depth, explode_arrays)
+
+
+def _opened_levels(
+    df: DataFrame,
+    source: str,
+    sep: str,
+    parent: str,
+    depth: int | None,
+    explode_arrays: bool,
+    prefix: str | None = None,
+) -> DataFrame:
+    """Nodes ``path, _node, level, in_list`` after the native levels, by a chain of generators.
+
+    With a prefix, every level passes on only containers and the strings that ``find_by_prefix`` wants.
+    """
     levels = NATIVE_LEVELS if depth is None else depth
     keep = [quoted(name) for name in df.columns if name != source]
     start = df.select(
@@ -176,7 +198,15 @@ def flatten_json(
             FROM (SELECT *, {opened} AS _open FROM {unfolded}),
                 LATERAL variant_explode_outer(_open) AS _step(pos, key, value)
         )"""
-    current = df.sparkSession.sql(f"SELECT * FROM {unfolded}", args={"sep": sep}, start=start)
+        unfolded = unfolded if prefix is None else f"(SELECT * FROM {unfolded} WHERE {PREFIXED_OR_CONTAINER})"
+    args = {"sep": sep} if prefix is None else {"sep": sep, "prefix": prefix}
+    return df.sparkSession.sql(f"SELECT * FROM {unfolded}", args=args, start=start)
+
+
+def _leaves(
+    current: DataFrame, keep: list[str], sep: str, depth: int | None, explode_arrays: bool
+) -> DataFrame:
+    """Nodes after the native levels to leaves; what is deeper goes to an Arrow UDF or fails."""
     node, path = F.col("_node"), F.col("path")
     kind = kind_of(node)
     containers = ["dict", "list"] if explode_arrays else ["dict"]
@@ -415,7 +445,9 @@ def find_by_prefix(
     if not isinstance(df.schema[source].dataType, T.VariantType):
         text = as_column(source)
         df = df.filter(F.contains(text, F.lit(prefix)) | F.contains(text, F.lit("\\")))
-    leaves = flatten_json(df, source, depth=depth)
+    keep = [quoted(name) for name in df.columns if name != source]
+    nodes = _opened_levels(df, source, "_", "", depth, True, prefix)
+    leaves = _leaves(nodes, keep, "_", depth, True)
     wanted = (F.col("kind") == "str") & ~F.col("in_list") & F.startswith("value", F.lit(prefix))
     return leaves.filter(wanted)
 

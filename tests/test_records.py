@@ -230,3 +230,19 @@ def test_unfolding_stops_at_a_record_deeper_than_declared(spark):
     assert records.unfold_fields(df, "doc", depth=3).count() == 1
     with pytest.raises(Exception, match="deeper than the declared 1 levels at a"):
         records.unfold_fields(df, "doc", depth=1).collect()
+
+
+@pytest.mark.parametrize("depth", [None, 4])
+def test_prefix_search_drops_other_leaves_before_the_next_level(spark, depth):
+    texts = ['{"a":"p1","b":{"c":"p2","d":["p3",{"e":"p4"}],"f":"x"},"g":1,"h":null,"i":{},"j":[]}',
+             '["p5"]', '"p6"', "{", None, '{"n":{"p":{"q":"p7"}},"m":"P8","":"p9"}']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, record string")
+    found = records.find_by_prefix(df, "record", "p", depth=depth)
+    leaves = records.flatten_json(df, "record", depth=depth)
+    expected = leaves.filter("kind = 'str' AND NOT in_list AND startswith(value, 'p')")
+    assert sorted(found.collect()) == sorted(expected.collect())
+    assert found.columns == expected.columns
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    generators = [place for place, line in enumerate(plan.splitlines()) if "Generate variant_explode" in line]
+    steps = [plan.splitlines()[a:b] for a, b in zip(generators, generators[1:])]
+    assert steps and all(any("startswith" in line.lower() for line in step) for step in steps)

@@ -158,6 +158,22 @@ def test_a_table_by_ranges_is_written_by_many_tasks(spark):
     assert sum(part.n for part in parts) < 25 + len(parts)
 
 
+def test_a_spread_table_has_no_heavy_task(spark):
+    # one row group, cut into many tasks of which one gets all rows
+    known = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        tables_of = Tables(spark, "/root/testdata/sf0.01")
+        cores = spark.sparkContext.defaultParallelism
+        assert tables_of.orders.rdd.getNumPartitions() >= cores
+        spread = tables_of.spread("orders")
+        load = [row["count"] for row in spread.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", known)
+    assert sum(load) == 15000
+    assert max(load) * cores <= 1.25 * sum(load)
+
+
 def test_latest_table(spark):
     data = [
         ("s/ilum/a.csv", 2, 1), ("s/ilum/b.csv", 3, 1), ("s/ilum/c.csv", 3, 1),
