@@ -8,7 +8,7 @@ from catalog import submissions as subs
 from catalog.registry import query
 from formtide.functions.fixed_values import LINK_FORM, LINK_URL, MAIL_PDF
 from formtide.operators import profile
-from formtide.operators.records import parse_json
+from formtide.operators.records import normalized_keys, parse_json
 from formtide.plans import bronze, gold, landing, media_links, photo_worklist, report, silver
 from formtide.plans.form_specs import FORM_SPECS
 from formtide.sources.objects import media_objects
@@ -97,7 +97,8 @@ def bronze_table(t):
     # nested documents from elsewhere; the union of keys is discovered
     docs = subs.orders_of_customers(t).select(parse_json(subs.document(LANDING_DOC)).alias("record"))
     fields = bronze.bronze_fields(docs, flat=False, depth=KNOWN_DEPTH)
-    return bronze.bronze_table(fields, moment=F.lit(subs.PROCESSED_AT).cast("timestamp"))
+    keys = normalized_keys(docs, "record", depth=KNOWN_DEPTH)
+    return bronze.bronze_table(fields, keys, F.lit(subs.PROCESSED_AT).cast("timestamp"))
 
 
 @query(

@@ -41,6 +41,9 @@ PREFIXED_OR_CONTAINER = """CASE WHEN schema_of_variant(_node) = 'STRING'
     THEN NOT in_list AND startswith(try_variant_get(_node, '$', 'string'), :prefix)
     ELSE startswith(schema_of_variant(_node), 'OBJECT<') OR startswith(schema_of_variant(_node), 'ARRAY<') END"""
 
+# A scalar's type in the schema of a record.
+SCALAR_TYPE = r": (?:[A-Z]+|DECIMAL\(\d+,\d+\))(?=[,>])"
+
 WIDE_INTEGER = r"^DECIMAL\((19|[23][0-9]),0\)$"
 
 
@@ -482,6 +485,21 @@ def sorted_keys(df: DataFrame, fields: str) -> list[str]:
     return sorted(row.key for row in keys.collect())
 
 
+def normalized_keys(df: DataFrame, source: str, depth: int | None = None) -> list[str]:
+    """``sorted_keys`` of ``normalize_fields``, from one record of every shape.
+
+    The keys of a record follow from its schema, so only one record per schema is unfolded. What kind
+    of scalar a key holds does not matter; schemas with quoted names are compared as they are.
+    """
+    record = _as_variant(df, source)
+    schema = F.schema_of_variant(record)
+    plain = F.regexp_replace(schema, SCALAR_TYPE, ": S")
+    shape = F.when(F.contains(schema, F.lit("`")), schema).otherwise(plain)
+    shapes = df.select(shape.alias("shape"), F.to_json(record).alias("record")).groupBy("shape")
+    one_each = shapes.agg(F.first("record").alias("record")).select("record")
+    return sorted_keys(normalize_fields(one_each, "record", depth=depth), "fields")
+
+
 def align_json_records(df: DataFrame, source: str, keys: list[str] | None = None) -> DataFrame:
     """Records as columns: sorted union of keys, null where a record lacks one."""
     others = [quoted(name) for name in df.columns if name != source]

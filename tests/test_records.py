@@ -246,3 +246,13 @@ def test_prefix_search_drops_other_leaves_before_the_next_level(spark, depth):
     generators = [place for place, line in enumerate(plan.splitlines()) if "Generate variant_explode" in line]
     steps = [plan.splitlines()[a:b] for a, b in zip(generators, generators[1:])]
     assert steps and all(any("startswith" in line.lower() for line in step) for step in steps)
+
+
+def test_keys_of_records_come_from_one_record_of_every_shape(spark):
+    texts = ['{"a":1,"b":{"c":"x","d":[{"e":1}]}}', '{"a":"y","b":{"c":null,"d":[]}}', '{"a":{"z":1.5},"b":2}',
+             '{"x: STRING":1}', '{"x: BIGINT":1}', '{"q r":{"`s`":true}}', '{"n":{},"m":[1,{"o":2}]}', "[1]", "3",
+             "{", None, '{"a":{"z":12345.25}}', '{"i.j":1,"i":{"j":2,"k":3e9}}', '{"7":1,"":2,"é":3}']
+    df = spark.createDataFrame([(text,) for text in texts], "record string")
+    expected = records.sorted_keys(records.normalize_fields(df, "record"), "fields")
+    assert records.normalized_keys(df, "record") == expected
+    assert {"a", "a_z", "b_c", "x: STRING", "x: BIGINT"} <= set(expected)
