@@ -54,6 +54,26 @@ def settled(df: DataFrame, name: str) -> DataFrame:
         conf.set(key, before)
 
 
+def settled_by(df: DataFrame, name: str, column: str) -> DataFrame:
+    """``settled`` with the files laid out by a column: grouping by it reads them without a shuffle.
+
+    The table is only a name for the layout; it leaves the catalogue at once and its files stay.
+    """
+    spark, table = df.sparkSession, f"llm_{uuid.uuid4().hex}"
+    columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in df.schema)
+    layout = f"CLUSTERED BY ({column}) INTO {partitions_of(spark)} BUCKETS LOCATION '{shared_path(spark, name)}'"
+    conf, key = spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {layout}")
+    conf.set(key, "true")
+    try:
+        df.select("*").write.insertInto(table)
+        return spark.table(table)
+    finally:
+        conf.set(key, before)
+        spark.sql(f"DROP TABLE {table}")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

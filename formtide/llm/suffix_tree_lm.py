@@ -6,8 +6,9 @@ symbols diverge from those of its suffix (G-test against a threshold per degree
 Distributions are smoothed by discounting towards the suffix's; a text is scored with the longest
 context in the tree before every token. All probabilities of a state sum to one.
 
-No task holds the tree. Documents, by bucket, send their distinct runs (context and next symbol) with
-their number and the suffix's probability to the task of the context, which counts, tests and answers
+No task holds the tree. Texts become numbers of words once, by bucket; these files lie by bucket, so that
+no later step reads, cuts or shuffles a text. Buckets send their distinct runs (context and next symbol) with their
+number and the suffix's probability to the task of the context, which counts, tests and answers
 with the probability in the order of the question; one round per length. Only runs whose context is
 frequent go out: that is known from the round before, since a context was a run there. A context with
 more than the share ``hot`` of all tokens (at most ``1/hot`` of a length) is dealt over all tasks by its
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formtide.llm.common import LOWER, Hasher, blocks, mix, settled, text_bytes, words_of
+from formtide.llm.common import LOWER, Hasher, blocks, mix, settled, settled_by, text_bytes, words_of
 from formtide.llm.exchange import join_answers, with_buckets
 from formtide.llm.sampling import remainder
 
@@ -30,6 +31,10 @@ PACKED = "bucket int, source int, keys binary, counts binary"
 NAMES = ["bucket", "source", "keys", "counts"]
 ASKED = "bucket int, source int, contexts binary, runs binary, symbols binary, n binary, p binary"
 ASKED_NAMES = ["bucket", "source", "contexts", "runs", "symbols", "n", "p"]
+STATE = "bucket int, kind int, place int, piece binary"
+STATE_NAMES = ["bucket", "kind", "place", "piece"]
+# Bytes of a row of a bucket's state: a writer holds at least 100 rows.
+PIECE = 1 << 18
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -60,14 +65,6 @@ def tokens_of(block: pa.RecordBatch, hasher: Hasher) -> tuple[np.ndarray, np.nda
     return rows[order], tokens[order]
 
 
-def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, with the sums of their counts."""
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
-    return keys[new], np.add.reduceat(counts, new) if len(new) else counts
-
-
 def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
     return (mix(keys) % np.uint64(n)).astype(np.int64)
 
@@ -87,36 +84,6 @@ def schema_of_packed() -> pa.Schema:
     return pa.schema(list(zip(NAMES, [pa.int32(), pa.int32(), pa.binary(), pa.binary()])))
 
 
-def count_keys(docs: DataFrame, keys_of, deal, n: int, most: int = 1 << 21) -> DataFrame:
-    """Counts of the keys of training rows: partial sums per task, one row per bucket."""
-
-    def run(batches):
-        hasher, parts, size = Hasher(), [], 0
-        for batch in batches:
-            for block in blocks(batch):
-                keys = keys_of(block, hasher)
-                parts.append(summed(keys, np.ones(len(keys), np.int64)))
-                size += len(parts[-1][0])
-                if size > most:
-                    parts = [summed(*(np.concatenate(x) for x in zip(*parts)))]
-                    size = len(parts[0][0])
-                    if size > most // 2:
-                        yield packed(deal(parts[0][0], n), 0, *parts[0])
-                        parts, size = [], 0
-        if parts:
-            keys, counts = summed(*(np.concatenate(x) for x in zip(*parts)))
-            yield packed(deal(keys, n), 0, keys, counts)
-
-    def total(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(b, np.uint64) for b in table.column("keys").to_pylist()])
-        counts = np.concatenate([expanded(b, np.int64) for b in table.column("counts").to_pylist()])
-        keys, counts = summed(keys, counts)
-        bucket = table.column("bucket")[0].as_py()
-        return pa.Table.from_batches([packed(np.full(len(keys), bucket), 0, keys, counts)], schema_of_packed())
-
-    return docs.mapInArrow(run, PACKED).groupBy("bucket").applyInArrow(total, PACKED)
-
-
 def places_in_order(numbers: np.ndarray, limit: int) -> np.ndarray:
     """Places of integers from 0 to below ``limit``, by value and place.
 
@@ -143,22 +110,55 @@ def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[new], number
 
 
+def state_of(table: pa.Table) -> list[bytes]:
+    """A bucket of documents as numbers: ids, which are null, which are held out, tokens of each row,
+    distinct words by falling number, and the place of every token among these."""
+    hasher, counts, tokens = Hasher(), [], []
+    for batch in table.combine_chunks().to_batches():
+        for block in blocks(batch):
+            rows, own = tokens_of(block, hasher)
+            counts.append(np.bincount(rows, minlength=block.num_rows).astype(np.uint32))
+            tokens.append(own)
+    words, word = numbered(np.concatenate(tokens))
+    order = np.argsort(-np.bincount(word, minlength=len(words)), kind="stable")  # small numbers compress
+    place = np.empty(len(words), np.uint32)
+    place[order] = np.arange(len(words), dtype=np.uint32)
+    ids = table.column("doc_id").combine_chunks()
+    null, held = (c.to_numpy(zero_copy_only=False).astype(np.uint8) for c in (ids.is_null(), table.column("held_out").combine_chunks()))
+    ids = ids.fill_null(0).to_numpy()
+    return [*map(squeezed, (ids, null, held, np.concatenate(counts))), words[order].tobytes(), squeezed(place[word])]
+
+
+def in_pieces(bucket: int, cells: list[bytes]) -> pa.Table:
+    rows = [
+        (bucket, kind, place, cell[at : at + PIECE])
+        for kind, cell in enumerate(cells)
+        for place, at in enumerate(range(0, max(len(cell), 1), PIECE))
+    ]
+    types = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=STATE_NAMES)
+
+
+def from_pieces(table: pa.Table) -> list[bytes]:
+    rows = sorted(zip(*(table.column(c).to_pylist() for c in STATE_NAMES[1:])))
+    cells: dict[int, list[bytes]] = {}
+    for kind, _, piece in rows:
+        cells.setdefault(kind, []).append(piece)
+    return [b"".join(pieces) for pieces in cells.values()]
+
+
 class Runs:
     """The tokens of a bucket of documents with what is known of the runs of symbols that end there."""
 
     def __init__(self, table: pa.Table):
-        hasher, rows, tokens, held, self.n = Hasher(), [], [], [], 0
-        for batch in table.combine_chunks().to_batches():
-            for block in blocks(batch):
-                r, t = tokens_of(block, hasher)
-                rows.append(r + self.n)
-                tokens.append(t)
-                held.append(block.column("held_out").to_numpy(zero_copy_only=False)[r])
-                self.n += block.num_rows
-        self.rows = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        self.tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
-        self.train = ~np.concatenate(held).astype(bool) if held else np.zeros(0, bool)
-        self.words, self.word = numbered(self.tokens)
+        ids, null, held, counts, words, word = from_pieces(table)
+        self.ids = pa.array(expanded(ids, np.int64), mask=expanded(null, np.uint8).astype(bool))
+        self.held, counts = expanded(held, np.uint8).astype(bool), expanded(counts, np.uint32)
+        self.n = len(counts)
+        self.rows = np.repeat(np.arange(self.n), counts)
+        self.train = np.repeat(~self.held, counts)
+        self.words, self.word = np.frombuffer(words, np.uint64), expanded(word, np.uint32).astype(np.int64)
+        self.tokens = self.words[self.word]
 
     def start(self, number: np.ndarray, scale: float, limits: tuple[float, float]) -> None:
         """Length 0: counts of ``words``."""
@@ -304,56 +304,47 @@ def score_texts(docs: DataFrame, least_count: int = 8, depth: int = 2, evidence:
     """
     parted, n_docs, n_keys = with_buckets(docs, id_column, text_column)
     held_out = F.coalesce(remainder("doc_id", divisor) == held, F.lit(False)).alias("held_out")
-    train = parted.filter(~held_out).select("text")
-    spark = docs.sparkSession
+    ready = parted.select("doc_id", "text", "bucket", held_out)
+    cut = lambda table: in_pieces(table.column("bucket")[0].as_py(), state_of(table))
+    texts = settled_by(ready.groupBy("bucket").applyInArrow(cut, STATE), "tokens", "bucket")
 
-    totals = settled(count_keys(train, lambda b, h: tokens_of(b, h)[1], bucket_of, n_keys), "totals")
+    def ask(table: pa.Table) -> pa.Table:
+        """The distinct words of a bucket of documents with their training counts, by their bucket, in order."""
+        runs, source = Runs(table), table.column("bucket")[0].as_py()
+        counts = np.bincount(runs.word, runs.train, len(runs.words)).astype(np.uint32)
+        return pa.Table.from_batches([packed(bucket_of(runs.words, n_keys), source, runs.words, counts)], schema_of_packed())
+
+    def tell(asked: pa.Table) -> pa.Table:
+        """Counts of a bucket's words for all that asked, in their order; tokens and words (bucket -1)."""
+        keys = [np.frombuffer(k, np.uint64) for k in asked.column("keys").to_pylist()]
+        words, number = numbered(np.concatenate(keys))
+        own = np.concatenate([expanded(c, np.uint32) for c in asked.column("counts").to_pylist()])
+        counts = np.bincount(number, own, len(words)).astype(np.int64)
+        cuts = np.split(counts[number], np.cumsum([len(k) for k in keys])[:-1])
+        sums = np.array([counts.sum(), np.count_nonzero(counts)])
+        told = [sums.tobytes(), *map(squeezed, cuts)]
+        bucket = asked.column("bucket")[0].as_py()
+        return pa.table(
+            [pa.array([-1, *asked.column("source").to_pylist()], pa.int32()), pa.array([bucket] * len(told), pa.int32()),
+             pa.array([b""] * len(told), pa.binary()), pa.array(told, pa.binary())],
+            schema=schema_of_packed(),
+        )
 
     def sums(batches):
         for batch in batches:
-            parts = [expanded(c, np.int64) for c in batch.column("counts").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([sum(int(p.sum()) for p in parts)]), pa.array([sum(map(len, parts))])], ["tokens", "words"]
-            )
+            parts = np.array([np.frombuffer(c, np.int64) for c in batch.column("counts").to_pylist()]).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in parts.T.copy()], ["tokens", "words"])
 
-    total, distinct = totals.mapInArrow(sums, "tokens long, words long").agg(F.sum("tokens"), F.sum("words")).first()
+    asked = texts.groupBy("bucket").applyInArrow(ask, PACKED)
+    told = settled(asked.groupBy("bucket").applyInArrow(tell, PACKED), "words")
+    parts = told.filter("bucket < 0").mapInArrow(sums, "tokens long, words long")
+    total, distinct = parts.agg(F.sum("tokens"), F.sum("words")).first()
     total, distinct = total or 0, distinct or 0
     scale = float(total + distinct + 1)
     limits = (max(least_share * total, least_count, 1), max(hot * total, 1))
 
-    def ask(table: pa.Table) -> pa.Table:
-        """The distinct words of a bucket of documents, by their bucket, in order."""
-        keys = distinct_tokens(table, Hasher())
-        source = table.column("bucket")[0].as_py()
-        return pa.Table.from_batches([packed(bucket_of(keys, n_keys), source, keys, None)], schema_of_packed())
-
-    def distinct_tokens(table: pa.Table, hasher: Hasher) -> np.ndarray:
-        parts = [
-            np.unique(tokens_of(block, hasher)[1])
-            for batch in table.combine_chunks().to_batches()
-            for block in blocks(batch)
-        ]
-        return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-
-    def tell(asked: pa.Table, known: pa.Table) -> pa.Table:
-        """Counts of the words that were asked for, in their order; ``source`` is now the words' bucket."""
-        keys, counts = np.zeros(1, np.uint64), np.zeros(1, np.int64)
-        for k, c in zip(known.column("keys").to_pylist(), known.column("counts").to_pylist()):
-            keys, counts = np.frombuffer(k, np.uint64), expanded(c, np.int64)
-        out = []
-        for source, words_ in zip(asked.column("source").to_pylist(), asked.column("keys").to_pylist()):
-            wanted = np.frombuffer(words_, np.uint64)
-            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            out.append((source, squeezed(np.where(keys[at] == wanted, counts[at], 0))))
-        bucket = asked.column("bucket")[0].as_py() if len(out) else 0
-        return pa.table(
-            [pa.array([o[0] for o in out], pa.int32()), pa.array([bucket] * len(out), pa.int32()),
-             pa.array([b""] * len(out), pa.binary()), pa.array([o[1] for o in out], pa.binary())],
-            schema=schema_of_packed(),
-        )
-
     def runs_of(texts: pa.Table, heard: pa.Table, length: int, hots: list) -> Runs:
-        """The runs of a bucket after the answers of all lengths below ``length``, its question ready."""
+        """The runs of a bucket after the answers of all lengths below ``length``."""
         runs, told = Runs(texts), {}
         columns = (heard.column(c).to_pylist() for c in ("source", "keys", "counts"))
         for source, keys, counts in zip(*columns):
@@ -383,9 +374,8 @@ def score_texts(docs: DataFrame, least_count: int = 8, depth: int = 2, evidence:
         count = runs.n
         per_row = [np.bincount(runs.rows, w, count) for w in (runs.number > 0, runs.base, runs.score)]
         types = [pa.int64(), pa.bool_()] + [pa.int64()] * 3 + [pa.float64()] * 2
-        texts = texts.combine_chunks()
         return pa.table(
-            [texts.column("doc_id"), texts.column("held_out"), pa.array(np.bincount(runs.rows, minlength=count)),
+            [runs.ids, pa.array(runs.held), pa.array(np.bincount(runs.rows, minlength=count)),
              pa.array(per_row[0].astype(np.int64)), pa.array(np.full(count, total, np.int64)),
              pa.array(per_row[1]), pa.array(per_row[2])], schema=pa.schema(list(zip(names, types))),
         )
@@ -394,21 +384,18 @@ def score_texts(docs: DataFrame, least_count: int = 8, depth: int = 2, evidence:
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    ready = parted.select("doc_id", "text", "bucket", held_out)
-    asked = ready.groupBy("bucket").applyInArrow(ask, PACKED)
-    told = asked.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(tell, PACKED)
-    heard, hots = settled(told, "words"), []
+    heard, hots = told.filter("bucket >= 0"), []
     for length in range(1, depth + 1):
         told, parts = None, passes[min(length, len(passes)) - 1]
         for part in range(parts):
-            asked = join_answers(ready, heard, ask_runs(length, list(hots), part, parts), ASKED)
+            asked = join_answers(texts, heard, ask_runs(length, list(hots), part, parts), ASKED)
             tell_runs = lambda table: answers(table, n_keys, limits, evidence, discount)
             more = settled(asked.groupBy("bucket").applyInArrow(tell_runs, PACKED), f"runs{length}_{part}")
             told = more if told is None else told.unionByName(more)
         hots.append(hot_contexts(told.filter("bucket < 0"), evidence))
         moved = F.col("source") + F.lit(length * 2 * n_keys).cast("int")
         heard = heard.unionByName(told.filter("bucket >= 0").withColumn("source", moved))
-    return join_answers(ready, heard, lambda texts, heard: finish(texts, heard, hots), schema)
+    return join_answers(texts, heard, lambda texts, heard: finish(texts, heard, hots), schema)
 
 
 def hot_contexts(parts: DataFrame, evidence: float) -> tuple[np.ndarray, ...]:

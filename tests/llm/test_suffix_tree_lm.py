@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from formtide.llm.suffix_tree_lm import expanded, numbered, places_in_order, score_texts, squeezed
+from formtide.llm.suffix_tree_lm import expanded, from_pieces, in_pieces, numbered, places_in_order, score_texts, squeezed
 from tests.llm.cases import awkward_docs, empty_docs
 
 
@@ -77,6 +77,24 @@ def test_scores_of_states_that_are_distributions(spark):
     assert [rows[r.doc_id].score for r in docs.collect()] == pytest.approx(expected, abs=1e-4)
 
 
+def test_texts_are_cut_into_words_once(spark):
+    scores = score_texts(awkward_docs(spark))
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    words = plan.partition("FlatMapCoGroupsInArrow")[2].partition("Exchange")[0]
+    assert "Bucketed: true" in words and "piece" in words  # the saved words come first, without a shuffle
+    assert not re.search(r"\btext#", plan) and plan.count("Exchange") == 1
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("llm_")]
+    assert scores.count() == awkward_docs(spark).count()
+
+
+def test_state_comes_back_from_its_pieces(monkeypatch):
+    monkeypatch.setattr("formtide.llm.suffix_tree_lm.PIECE", 3)
+    cells = [b"", b"abc", bytes(range(100)), b"x"]
+    table = in_pieces(7, cells)
+    assert table.num_rows == 1 + 1 + 34 + 1 and set(table.column("bucket").to_pylist()) == {7}
+    assert from_pieces(table.take(np.random.RandomState(1).permutation(table.num_rows))) == cells
+
+
 def test_empty_table(spark):
     assert score_texts(empty_docs(spark)).count() == 0
 
